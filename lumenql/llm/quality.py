@@ -165,4 +165,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", tex
     narrow = docs.select(F.col(id_col), F.col(stratum), F.col(text_col))
     measured, _ = materialize(metrics(narrow, text_col).drop(text_col), "quality-metrics")
     cutoffs, _ = materialize(thresholds(measured, labels, id_col=id_col, stratum=stratum, risk=risk), "cutoffs")
-    return judge(metrics(docs, text_col), cutoffs, stratum, risk).where("kept").select(*docs.columns)
+    # The row stays in one struct, so that no column of it can clash; a generator keeps the
+    # optimizer from copying the measures' expressions into the filter above the join.
+    rows = docs.select(F.struct("*").alias("__row"), F.col(text_col).alias("__text"), F.col(stratum).alias("__stratum"))
+    seen = F.struct("base_failed", *risk.grids)
+    measured = metrics(rows, "__text").select("__row", "__stratum", F.explode(F.array(seen)).alias("__seen")).select("__row", "__stratum", "__seen.*")
+    return judge(measured, cutoffs, "__stratum", risk).where("kept").select("__row.*")

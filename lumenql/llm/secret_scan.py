@@ -134,15 +134,15 @@ def entropy_spans(text: Column, base: Column, rules: Rules) -> Column:
     return F.when(text.rlike(pattern), scan(_matches(text, pattern, 3))).otherwise(_none())
 
 
-def scan_secrets(docs: DataFrame, text_col: str = "text", rules: Rules = Rules()) -> DataFrame:
-    """Adds ``secret_spans``: all spans (start, kind, end) sorted; ``kind`` indexes ``KINDS``.
+def scan_secrets(docs: DataFrame, text_col: str = "text", rules: Rules = Rules(), out: str = "secret_spans") -> DataFrame:
+    """Adds ``out``: all spans (start, kind, end) sorted; ``kind`` indexes ``KINDS``.
 
     Null texts count as empty and have none. Equal rows get equal spans. A table without
-    rows stays empty, and all columns stay; a column named ``secret_spans`` is replaced.
+    rows stays empty, and all columns stay, but one that is named as ``out`` is replaced.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.withColumn("__base", base_spans(text))
-    return base.withColumn("secret_spans", F.array_sort(F.concat("__base", entropy_spans(text, F.col("__base"), rules)))).drop("__base")
+    return base.withColumn(out, F.array_sort(F.concat("__base", entropy_spans(text, F.col("__base"), rules)))).drop("__base")
 
 
 def as_text(spans: Column) -> Column:
@@ -165,6 +165,6 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "<secret>", rule
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, F.array_append(acc["out"], piece)).otherwise(acc["out"]).alias("out"))
 
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    done = F.aggregate("secret_spans", zero, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
-    found = scan_secrets(docs, text_col, rules)
-    return found.withColumn(text_col, F.when(F.size("secret_spans") > 0, done).otherwise(text)).drop("secret_spans")
+    done = F.aggregate("__spans", zero, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+    found = scan_secrets(docs, text_col, rules, out="__spans")
+    return found.withColumn(text_col, F.when(F.size("__spans") > 0, done).otherwise(text)).drop("__spans")
