@@ -144,16 +144,19 @@ def json_file(engine, path: str, schema_path: str | None = None) -> DataFrame:
     """Rows of a JSON object or array; the side file declares them. Elements that are not objects are dropped."""
     import json
 
-    reader = engine.spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
     if schema_path:
         text = engine.spark.read.text(schema_path, wholetext=True).first()[0]
         declared = json.loads(text)
         kind = json_type(declared[0] if isinstance(declared, list) and declared else declared)
         if isinstance(kind, T.StructType):
-            return reader.schema(kind).json(path).where(" or ".join(f"`{f.name}` is not null" for f in kind.fields) or "true")
+            # Elements are taken apart as text first: one that is not an object must not spoil its neighbours.
+            text = F.trim(F.regexp_replace("value", "^\ufeff", ""))
+            each = F.when(F.startswith(text, F.lit("{")), F.array(text)).otherwise(F.from_json(text, "array<string>"))
+            objects = engine.spark.read.text(path, wholetext=True).select(F.explode(each).alias("e")).where(F.col("e").startswith("{"))
+            return objects.select(F.from_json("e", kind).alias("r")).select("r.*")
         text = engine.spark.read.text(path, wholetext=True)
         return text.select(F.from_json("value", f"array<{'string' if kind is None else kind.simpleString()}>").alias("Array"))
-    return reader.json(path)
+    return engine.spark.read.option("multiLine", True).option("mode", "PERMISSIVE").json(path)
 
 
 def json_type(declared) -> T.DataType:
