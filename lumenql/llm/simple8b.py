@@ -41,14 +41,14 @@ def pack_rows(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
     Where a selector's run fits is found for all places at once; only the walk from word
     to word is a loop.
     """
-    ids = np.ascontiguousarray(ids, dtype=np.uint64)
     n = len(ids)
     width = _widths(ids)
+    ids = np.ascontiguousarray(ids, dtype=np.uint64)
     ends = np.cumsum(lengths)
-    left = np.repeat(ends, lengths) - np.arange(n)
+    left = (np.repeat(ends, lengths) - np.arange(n)).astype(np.int32)
     choice = np.full(n, ESCAPE, dtype=np.int8)
     # A run that fits a selector also fits all that hold fewer, wider ids: look on only where the last one fitted.
-    at = np.arange(n)
+    at = np.arange(n, dtype=np.int32)
     for selector in [*range(14, 0, -1), ZEROS]:
         count, most = int(COUNT[selector]), int(WIDTH[selector])
         at = at[left[at] >= count]

@@ -10,13 +10,14 @@ A block holds whole documents in ascending id order:
 All numbers are little-endian. A document's words start at its offset, so any document
 decodes alone and all of a block decode in one vectorised pass. Blocks are written as
 binary rows of a Parquet container, through Spark's own commit protocol, and each row
-repeats the number of ids and documents for readers that only plan.
+repeats the number of ids and documents, and the ids of its part before it, for readers
+that only plan.
 """
 
 from __future__ import annotations
 
 import zlib
-from itertools import chain
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -36,30 +37,26 @@ BLOCK_IDS = 1 << 17
 
 
 class LibraryEncoder:
-    """The tokenizers library, whose model encodes each new pre-token once and keeps it."""
+    """The tokenizers library, whose model encodes each new pre-token once and keeps it as packed ids."""
 
     def __init__(self, path: str):
         self.splitter = Splitter(path)
-        model = self.splitter.tokenizer.model
-        self.known = Cache(lambda word: [t.id for t in model.tokenize(self.splitter.letters(word))], CACHE)
+        model, letters = self.splitter.tokenizer.model, self.splitter.letters
+        self.known = Cache(lambda word: array("I", [t.id for t in model.tokenize(letters(word))]).tobytes(), CACHE)
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        for piece in self.splitter.pieces(text):
-            if isinstance(piece, int):
-                out.append(piece)
-            else:
-                out.extend(chain.from_iterable(map(self.known.__getitem__, piece)))
-        return out
+    def encode(self, text: str) -> bytes:
+        """The text's ids as unsigned 32-bit integers of the machine's byte order."""
+        get = self.known.__getitem__
+        return b"".join([array("I", [p]).tobytes() if isinstance(p, int) else b"".join(map(get, p)) for p in self.splitter.pieces(text)])
 
 
 _loaded: dict[str, LibraryEncoder] = {}
 
 
-def encode_block(ids: list[int], texts: list[list[int]]) -> bytes:
-    """One block from document ids and their token ids."""
-    tokens = np.array([len(t) for t in texts], dtype=np.int64)
-    flat = np.fromiter(chain.from_iterable(texts), np.uint64, int(tokens.sum()))
+def encode_block(ids: list[int], texts: list[bytes]) -> bytes:
+    """One block from document ids and their token ids, packed as ``LibraryEncoder`` gives them."""
+    tokens = np.array([len(t) // 4 for t in texts], dtype=np.int64)
+    flat = np.frombuffer(b"".join(texts), np.uint32)
     words, offsets = simple8b.pack_rows(flat, tokens)
     parts = [np.array([len(ids), len(words)]).astype("<u8"), np.array(ids, dtype="<i8"), tokens.astype("<u8"), offsets.astype("<u8"), words.astype("<u8")]
     return MAGIC + b"".join(p.tobytes() for p in parts)
@@ -92,28 +89,29 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_
             _loaded[tokenizer] = LibraryEncoder(tokenizer)
         encoder, part = _loaded[tokenizer], TaskContext.get().partitionId()
         ids: list[int] = []
-        texts: list[list[int]] = []
-        held = number = 0
+        texts: list[bytes] = []
+        held = number = before = 0
+        end = array("I", [END_ID]).tobytes()
 
         def close():
             block = encode_block(ids, texts)
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([held], pa.int64()), pa.array([block], pa.binary())], ["part", "block", "docs", "ids", "data"])
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([held], pa.int64()), pa.array([before], pa.int64()), pa.array([block], pa.binary())], ["part", "block", "docs", "ids", "before", "data"])
 
         for batch in batches:
             for key, text in zip(batch.column(0), batch.column(1)):
-                got = encoder.encode(text.as_py() or "") + [END_ID]
+                got = encoder.encode(text.as_py() or "") + end
                 ids.append(NO_ID if key.as_py() is None else key.as_py())
                 texts.append(got)
-                held += len(got)
+                held += len(got) // 4
                 if held >= block_ids:
                     yield close()
-                    ids, texts, held, number = [], [], 0, number + 1
+                    ids, texts, held, before, number = [], [], 0, before + held, number + 1
         if ids:
             yield close()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     dealt = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    dealt.mapInArrow(run, "part int, block long, docs long, ids long, data binary").write.option("compression", "none").parquet(path)
+    dealt.mapInArrow(run, "part int, block long, docs long, ids long, before long, data binary").write.option("compression", "none").parquet(path)
 
 
 #: Stands for a missing document id in a block.
@@ -147,14 +145,9 @@ def read_tokens(spark: SparkSession, path: str, *, digests: bool = False) -> Dat
                     last = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(values.astype(np.int64)))
                 yield pa.RecordBatch.from_arrays([*columns, last], names)
 
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("part").orderBy("block")
-    heads = blocks.select("part", "block", "ids").withColumn("before", F.sum("ids").over(order) - F.col("ids")).drop("ids")
     names = ["doc_id", "start", "n_tokens", "ids_crc32" if digests else "ids"]
     schema = f"doc_id long, start long, n_tokens long, {'ids_crc32 long' if digests else 'ids array<bigint>'}"
-    placed = blocks.select("part", "block", "data").join(heads, ["part", "block"]).select("part", "before", "data")
-    return placed.mapInArrow(run, schema)
+    return blocks.select("part", "before", "data").mapInArrow(run, schema)
 
 
 def round_trip(docs: DataFrame, tokenizer: str, path: str | None = None, *, digests: bool = True, **options) -> DataFrame:
