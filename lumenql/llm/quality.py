@@ -137,8 +137,8 @@ def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang", risk:
     above = F.lit(False)
     for rule in risk.grids:
         above = above | F.coalesce(F.col(rule) > F.col(f"cut_{rule[2:]}"), F.lit(False))
-    named = cutoffs.withColumnRenamed("stratum", "__stratum")
-    joined = measured.join(named, F.coalesce(F.col(stratum).cast("string"), F.lit("")) == F.col("__stratum"), "left")
+    named = cutoffs.withColumnRenamed("stratum", "__cut_stratum")
+    joined = measured.join(named, F.coalesce(F.col(stratum).cast("string"), F.lit("")) == F.col("__cut_stratum"), "left")
     return joined.withColumn("kept", ~F.col("base_failed") & ~above).drop(*named.columns)
 
 
