@@ -71,5 +71,30 @@ def bind(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def running(items: Column, start: Column, kind: str, step, block: int = 512) -> Column:
+    """The values that ``step(at, item) -> (next at, value, whether to keep it)`` yields over an array.
+
+    An array that grows by appending is copied each time; blocks keep the copies small,
+    so a text with very many matches stays near linear.
+    """
+
+    def fold(part: Column, at: Column) -> Column:
+        def one(acc: Column, item: Column) -> Column:
+            following, value, keep = step(acc["at"], item)
+            return F.struct(following.alias("at"), F.when(keep, F.array_append(acc["out"], value)).otherwise(acc["out"]).alias("out"))
+
+        return F.aggregate(part, F.struct(at.alias("at"), F.array().cast(f"array<{kind}>").alias("out")), one)
+
+    def outer(acc: Column, part: Column) -> Column:
+        return bind(fold(part, acc["at"]), lambda f: F.struct(f["at"].alias("at"), F.array_append(acc["out"], f["out"]).alias("out")))
+
+    def blocks(all_items: Column) -> Column:
+        count = F.ceil(F.size(all_items) / block).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), lambda k: F.slice(all_items, k * block + 1, block))
+
+    zero = F.struct(start.alias("at"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+    return F.flatten(F.aggregate(bind(items, blocks), zero, outer, lambda acc: acc["out"]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bind
+from .common import bind, running
 
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -61,15 +61,13 @@ def _matches(text: Column, pattern: str, kind: int, shortest: int = 0) -> Column
     """Spans of a pattern's matches; a match whose group 2 is shorter than ``shortest`` is passed over."""
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"), F.regexp_extract_all(text, F.lit(pattern), F.lit(2)).alias("value"))
 
-    def step(acc: Column, part: Column) -> Column:
-        start = acc["at"] + F.length(part["gap"])
+    def step(at: Column, part: Column) -> tuple[Column, Column, Column]:
+        start = at + F.length(part["gap"])
         end = start + F.coalesce(F.length(part["hit"]), F.lit(0))
         span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        good = part["hit"].isNotNull() & (F.length(part["value"]) >= shortest)
-        return F.struct(end.alias("at"), F.when(good, F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+        return end, span, part["hit"].isNotNull() & (F.length(part["value"]) >= shortest)
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
-    return F.aggregate(parts, zero, step, lambda acc: acc["out"])
+    return running(parts, F.lit(0), _SPAN[6:-1], step)
 
 
 def _none() -> Column:
@@ -159,12 +157,11 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "<secret>", rule
     """The table with each run of overlapping spans in ``text_col`` replaced by ``mask``; null texts stay null."""
     text = F.col(text_col)
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        piece = F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, F.array_append(acc["out"], piece)).otherwise(acc["out"]).alias("out"))
+    def step(at: Column, s: Column) -> tuple[Column, Column, Column]:
+        piece = F.concat(F.substring(text, at + 1, s["start"] - at), F.lit(mask))
+        return F.greatest(at, s["end"]), piece, s["start"] >= at
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    done = F.aggregate("__spans", zero, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+    last = F.array_max(F.transform("__spans", lambda s: s["end"]))
+    done = F.concat(F.array_join(running(F.col("__spans"), F.lit(0), "string", step), ""), F.substring(text, last + 1, F.length(text)))
     found = scan_secrets(docs, text_col, rules, out="__spans")
     return found.withColumn(text_col, F.when(F.size("__spans") > 0, done).otherwise(text)).drop("__spans")
