@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .functions import prompts
+from .functions import history, prompts  # noqa: F401  history registers its functions
 from .plans.lower import Lowering
 from .plans.parser import parse
 from .sources.registry import Registry

@@ -203,6 +203,27 @@ def test_git_source(engine, tmp_path):
     assert last in ([("change 2",)], [("change 1",)])  # both may fall into one second
 
 
+def test_git_rows(engine, tmp_path):
+    import subprocess
+
+    run = lambda *a: subprocess.run(["git", "-C", str(tmp_path), "-c", "user.name=A", "-c", "user.email=a@x", *a], check=True, capture_output=True)
+    run("init", "-q", "-b", "main")
+    for branch, text in (("main", "1"), ("feature", "2")):
+        if branch != "main":
+            run("checkout", "-qb", branch)
+        (tmp_path / "f.txt").write_text(text + "\n")
+        run("add", ".")
+        run("commit", "-qm", branch)
+    source = f"#git.repository('{tmp_path}') r"
+    assert rows(engine.sql(f"select d.Path, d.ChangeKind from {source} cross apply r.DifferenceBetween(r.BranchFrom('refs/heads/main'), r.BranchFrom('refs/heads/feature')) as d")) == [("f.txt", "Modified")]
+    assert rows(engine.sql(f"select p.LinesAdded, p.LinesDeleted from {source} cross apply r.PatchBetween(r.BranchFrom('refs/heads/main'), r.BranchFrom('refs/heads/feature')) p")) == [(1, 1)]
+    assert rows(engine.sql(f"select c.MessageShort from {source} cross apply r.SearchForBranches('feat') b cross apply b.GetBranchSpecificCommits(r.Self, b.Self, true) c")) == [("feature",)]
+    (base,) = rows(engine.sql(f"select r.FindMergeBase(r.BranchFrom('refs/heads/feature')).Sha as s from {source}"))
+    (main,) = rows(engine.sql(f"select b.Tip.Sha as s from #git.branches('{tmp_path}') b where b.FriendlyName = 'main'"))
+    assert base == main
+    assert len(rows(engine.sql(f"select c.Sha, p.Sha from #git.commits('{tmp_path}') c cross apply c.Parents as p"))) == 1
+
+
 def test_snapshots_and_clients(spark, tmp_path):
     (tmp_path / "github").mkdir()
     (tmp_path / "github" / "branches.json").write_text('{"Name": "main", "RepositoryOwner": "o", "RepositoryName": "r"}\n{"Name": "x", "RepositoryOwner": "p", "RepositoryName": "r"}\n')
