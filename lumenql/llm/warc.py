@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from .common import scratch
 
-#: Bytes of a record's block, of a chunk, and records of a file: a file stays near 32 MB.
-SEGMENT_BYTES, CHUNK_BYTES, FILE_RECORDS = 1 << 18, 1 << 13, 128
+#: Bytes of a record's block, of a chunk, and records of a file: a file stays below 64 MB, far less when compressed.
+SEGMENT_BYTES, CHUNK_BYTES, FILE_RECORDS = 1 << 16, 1 << 13, 1024
 REVISIT_BYTES = 1000
 END = "\r\n\r\n"
 _IDS = uuid.uuid5(uuid.NAMESPACE_URL, "urn:lumenql:warc")
