@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,11 +53,40 @@ def empty(engine, ddl: str) -> DataFrame:
     return engine.spark.createDataFrame([], ddl)
 
 
+#: Splits whose numbers are broadcast; more are joined by a shuffle.
+MOST_SPLITS = 50_000
+
+
+def _splits(engine, paths: list[str]) -> int:
+    """An upper bound of the splits that a read of these paths makes."""
+    size = files = 0
+    per = int(engine.spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    for path in paths:
+        jvm_path = engine.spark._jvm.org.apache.hadoop.fs.Path(path)
+        summary = jvm_path.getFileSystem(engine.spark._jsc.hadoopConfiguration()).getContentSummary(jvm_path)
+        size += summary.getLength()
+        files += summary.getFileCount()
+    return files + 8 * (size // max(1, per) + 1)
+
+
 def numbered_lines(engine, paths: list[str]) -> DataFrame:
-    """Lines with their number in the file, from 1. A file is one row, so its order is kept."""
-    whole = engine.spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("File"), F.col("value"))
-    lines = F.when(F.col("value") == "", F.array(F.lit(""))).otherwise(F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n", -1))
-    return whole.select("File", F.posexplode(lines)).select("File", (F.col("pos") + 1).alias("LineNumber"), F.col("col").alias("Line"))
+    """Lines with their number in the file, from 1; files may be of any size.
+
+    Files are read in splits. A first pass counts the lines of each split, which gives its
+    first number; within a split a line's place is its distance from the split's first
+    row. Only one row for each split is shuffled, never the lines.
+    """
+    meta = F.col("_metadata")
+    lines = engine.spark.read.text(paths).select(meta["file_path"].alias("File"), meta["file_block_start"].alias("__block"), F.monotonically_increasing_id().alias("__id"), F.col("value").alias("Line"))
+    splits = lines.groupBy("File", "__block").agg(F.min("__id").alias("__first"), F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("File").orderBy("__block")) - F.col("__n")
+    splits = splits.select(F.col("File").alias("__file"), F.col("__block").alias("__at"), "__first", before.alias("__before"))
+    if _splits(engine, paths) <= MOST_SPLITS:
+        splits = F.broadcast(splits)  # a few numbers for each split, and lines keep their order
+    found = lines.join(splits, (F.col("File") == F.col("__file")) & (F.col("__block") == F.col("__at")))
+    number = (F.col("__id") - F.col("__first") + F.col("__before") + 1).cast("int")
+    text = F.when(number == 1, F.regexp_replace("Line", "^\ufeff", "")).otherwise(F.col("Line"))
+    return found.select("File", number.alias("LineNumber"), text.alias("Line"))
 
 
 def flat_file(engine, path: str) -> DataFrame:

@@ -111,6 +111,17 @@ def test_flat_file_lines(engine, tmp_path):
     assert rows(engine.sql("select LineNumber from #flat.file('/nowhere.txt')")) == []
 
 
+def test_line_numbers_run_through_splits(engine, spark, tmp_path):
+    (tmp_path / "long.txt").write_text("".join(f"row {k}\n" for k in range(1, 5001)))
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        df = engine.sql(f"select LineNumber, Line from #flat.file('{tmp_path}/long.txt')")
+        assert df.rdd.getNumPartitions() > 4 and sorted(rows(df)) == [(k, f"row {k}") for k in range(1, 5001)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+
+
 def test_json_with_side_schema(engine, tmp_path):
     (tmp_path / "d.json").write_text(json.dumps([{"Name": "A", "Age": 3, "Books": [{"Name": "x"}]}, 7]))
     (tmp_path / "s.json").write_text(json.dumps({"Name": "string", "Age": "int", "Books": [{"Name": "string"}]}))
