@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -433,6 +434,26 @@ def lines_with_word(row, word):
     return F.concat(F.lit("("), F.array_join(F.filter(numbered, lambda x: x.isNotNull()), ","), F.lit(")"))
 
 
+@function("os", "GetFileInfo")
+def file_info(path):
+    """The file at a path, as the machine that processes the row sees it; null where there is none."""
+
+    @F.pandas_udf("FullPath string, Name string, Extension string, DirectoryPath string, Length bigint, LastWriteTime timestamp, Exists boolean")
+    def run(paths: pd.Series) -> pd.DataFrame:
+        import os
+
+        def one(p):
+            if p is None or not os.path.isfile(p):
+                return (None,) * 7
+            s = os.stat(p)
+            return (p, os.path.basename(p), os.path.splitext(p)[1], os.path.dirname(p), s.st_size, pd.Timestamp(s.st_mtime_ns // 1000, unit="us"), True)
+
+        return pd.DataFrame([one(p) for p in paths], columns=["FullPath", "Name", "Extension", "DirectoryPath", "Length", "LastWriteTime", "Exists"])
+
+    found = run(path)
+    return F.when(found["Exists"], found)
+
+
 @row_function("os", "CountOfLines")
 def count_lines(row):
     return F.size(file_lines(text_of(row))).cast("bigint")
@@ -595,6 +616,16 @@ for _part in ("Classes", "Interfaces", "Enums", "Structs"):
 _part_filter("FindImplementations", "Classes", lambda x, i: F.array_contains(x["Interfaces"], column(i)))
 
 
+@row_function("csharp", "FindDerivedClasses")
+def derived_classes(row, base):
+    """Classes that derive from a class, named or given as a row, directly or through others."""
+    name = F.coalesce(F.get_json_object(F.to_json(F.struct(base.alias("c"))), "$.c.Name"), F.get_json_object(F.to_json(F.struct(base.alias("c"))), "$.c"))
+    below = lambda classes, names: F.filter(classes, lambda c: F.coalesce(F.arrays_overlap(c["BaseTypes"], names), F.lit(False)))
+    grow = lambda classes: F.aggregate(classes, F.array(name), lambda names, _: F.array_distinct(F.concat(names, F.transform(below(classes, names), lambda c: c["Name"]))))
+    classes = _flat_classes(row)
+    return below(classes, grow(classes))
+
+
 @row_function("csharp", "GetUnusedParameters")
 def unused_parameters(row):
     return F.flatten(F.transform(_PART["Methods"](row), lambda m: F.filter(m["Parameters"], lambda p: ~p["IsUsed"])))

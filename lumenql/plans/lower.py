@@ -295,7 +295,10 @@ class Lowering:
             args = list(call.args)
             if len(args) == 2 and isinstance(args[1], A.Literal):
                 parent = int(args[1].value)
-            value = F.lit(1) if not args or isinstance(args[0], A.Star) else self.expr(args[0], scope)
+            if call.name.lower() in ("aggregatefiles", "aggregatedirectories") and not args:
+                value = self.row(next(iter(scope.aliases)), scope)  # the row itself is what is collected
+            else:
+                value = F.lit(1) if not args or isinstance(args[0], A.Star) else self.expr(args[0], scope)
             wanted.append((call.name.lower(), value, parent, call.distinct))
         df, key_names, results = aggregate(scope.df, keys, wanted)
         swap: dict[A.Node, Column] = {n: F.col(k) for n, k in zip(nodes, key_names)}

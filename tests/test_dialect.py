@@ -264,6 +264,17 @@ def test_symbol_tables(spark, tmp_path):
     assert rows(engine.sql(f"select m.Name from {source} cross apply s.GetMethodsByPattern('g*') m")) == [("Go",)]
 
 
+def test_derived_classes_and_files(engine, spark, tmp_path):
+    (tmp_path / "csharp").mkdir()
+    classes = [{"Name": "A", "BaseTypes": []}, {"Name": "C", "BaseTypes": ["B"]}, {"Name": "B", "BaseTypes": ["A"]}, {"Name": "X", "BaseTypes": ["Y"]}]
+    (tmp_path / "csharp" / "solution.json").write_text(json.dumps({"Id": "s", "Projects": [{"Name": "P", "Classes": classes}]}))
+    solution = Engine(spark, snapshots=str(tmp_path))
+    assert rows(solution.sql("select c.Name from #csharp.solution('x') s cross apply s.FindDerivedClasses('A') c")) == [("C",), ("B",)]
+    (tmp_path / "f.txt").write_text("abc")
+    assert rows(engine.sql(f"select GetFileInfo('{tmp_path}/f.txt').Length as n, GetFileInfo('/nowhere') is null as none from #system.dual()")) == [(3, True)]
+    assert rows(engine.sql(f"select Length(AggregateFiles()) as n from #os.files('{tmp_path}', false) group by 'all'")) == [(1,)]
+
+
 def test_streaming_matches_batch(spark, sf_dir, tmp_path):
     from lumenql.streaming import windows
 
