@@ -83,7 +83,7 @@ class ShardStore:
     def append(self, arrivals: DataFrame) -> int:
         """Commit a table as one run of small shards."""
         name = f"runs/{uuid.uuid4().hex}"
-        arrivals.write.parquet(f"{self.root}/{name}")
+        arrivals.write.option("compression", "zstd").parquet(f"{self.root}/{name}")
         base = self.version()
         return self.commit(base, [*self.manifest(base), self._measure(name)])
 
@@ -93,7 +93,7 @@ class ShardStore:
         ``batch`` is an integer column that numbers the arrivals; it is stored in the rows too.
         """
         name = f"runs/{uuid.uuid4().hex}"
-        arrivals.withColumn("__batch", F.coalesce(F.col(batch), F.lit(-1))).write.partitionBy("__batch").parquet(f"{self.root}/{name}")
+        arrivals.withColumn("__batch", F.coalesce(F.col(batch), F.lit(-1))).write.partitionBy("__batch").option("compression", "zstd").parquet(f"{self.root}/{name}")
         folders = [s.getPath().getName() for s in self._fs.listStatus(self._path(name)) if s.isDirectory()]
         base = self.version()
         for folder in sorted((f for f in folders if f.startswith("__batch=")), key=lambda f: int(f.partition("=")[2])):
@@ -128,7 +128,7 @@ class ShardStore:
         session.conf.set("spark.sql.files.openCostInBytes", "0")
         session.conf.set("spark.sql.files.minPartitionNum", "1")
         name = f"runs/{uuid.uuid4().hex}"
-        session.read.parquet(*(f"{self.root}/{r.path}" for r in merging)).write.parquet(f"{self.root}/{name}")
+        session.read.parquet(*(f"{self.root}/{r.path}" for r in merging)).write.option("compression", "zstd").parquet(f"{self.root}/{name}")
         gone = {r.path for r in merging}
         self.commit(base, [*(r for r in runs if r.path not in gone), self._measure(name)])
         return True
