@@ -2,8 +2,8 @@
 
 The file's own normalizer and pre-tokenizer define the result. A text made of printable
 characters below U+0250 (which its normalization leaves as they are, but for case and
-white space) is split by an equal regular expression instead; all others go through the
-library.
+white space) is split by an equal regular expression instead; all others, and those with
+a capital whose lower case lies at or above U+0250, go through the library.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ def _ranges(points) -> str:
     return "".join(re.escape(chr(p)) for p in points)
 
 
-_PLAIN = [p for p in range(0xA1, _LIMIT) if p not in (0xAD, 0x130)]
+_PLAIN = [p for p in range(0xA1, _LIMIT) if p not in (0xAD, 0x130) and ord(chr(p).lower()) < _LIMIT]
 _LETTERS = _ranges(p for p in _PLAIN if unicodedata.category(chr(p))[0] == "L")
 _NUMBERS = _ranges(p for p in _PLAIN if unicodedata.category(chr(p))[0] == "N")
 #: The contractions that the tokenizer's pattern names.

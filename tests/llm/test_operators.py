@@ -270,6 +270,13 @@ def test_encoders_equal_the_library(tokenizer, texts):
         assert own.decode(ids) == tokenizer.decode(ids, skip_special_tokens=False)
 
 
+def test_plain_characters_split_as_in_the_library():
+    splitter = pretoken.Splitter(queries.tokenizer_path())
+    plain = [chr(p) for p in range(0x250) if pretoken.PLAIN.fullmatch(chr(p))]
+    for text in [f"a{c}b {c}li{c} 1{c}" for c in plain] + ["Əli Bayramov", "Ɔkɔm", "ƁA ƊE"]:
+        assert splitter._split(text) == splitter.exact(text), repr(text)
+
+
 def test_forced_boundaries_are_certain():
     """No token of the vocabulary spans a cut, and cutting changes no result."""
     own = bpe.load(queries.tokenizer_path())
