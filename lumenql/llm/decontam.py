@@ -5,7 +5,7 @@ placeholders. Windows of five template tokens are hashed, and a document's windo
 the benchmark's in a hash join. A match of window positions gives an alignment of a
 document with an item; within it the tokens must agree and the slots must be consistent:
 one value of the item stands for one value of the document throughout, and the other way
-round. Questions that were re-parameterised pass, chance meetings of different slots do
+round. Windows with a slot that breaks this do not count, unless their values are equal. Questions that were re-parameterised pass, chance meetings of different slots do
 not. An item is leaked if aligned windows cover enough of its tokens.
 
 Names are capitalised words inside sentences. As copies may change case, items and
@@ -142,30 +142,40 @@ class Index:
             shift = pos[begin:end] - at[begin:end]
             lines = np.flatnonzero(np.r_[True, shift[1:] != shift[:-1]])
             for a, b in zip(lines, np.r_[lines[1:], len(shift)]):
-                places = np.unique((at[begin + a : begin + b][:, None] + np.arange(WINDOW)).ravel())
-                agreed = self._consistent(ref, doc, places, places + shift[a])
-                if agreed is not None:
-                    covered[places] = True
-                    used += len(np.unique(at[begin + a : begin + b]))
-                    changed = max(changed, agreed)
+                kept, agreed = self._consistent(ref, doc, np.unique(at[begin + a : begin + b]), shift[a])
+                covered[kept[:, None] + np.arange(WINDOW)] = True
+                used += len(kept)
+                changed = max(changed, agreed)
             share = float(covered.mean())
             if share >= coverage:
                 out.append((self.ids[k], used, share, changed))
         return out
 
     @staticmethod
-    def _consistent(ref: Template, doc: Template, here: np.ndarray, there: np.ndarray) -> int | None:
-        """The number of differing slot values if the slots map one to one, else None."""
-        x, y = ref.value[here], doc.value[there]
-        kind = np.maximum(ref.slot[here], doc.slot[there])
-        fixed = kind == 0
-        if (x[fixed] != y[fixed]).any():
-            return None
-        pairs = np.unique(np.stack([kind[~fixed].astype(np.uint64), x[~fixed], y[~fixed]]), axis=1)
+    def _consistent(ref: Template, doc: Template, starts: np.ndarray, shift: int) -> tuple[np.ndarray, int]:
+        """The windows of an alignment that count, and the number of differing slot values in them.
+
+        Windows count whose slots map one to one throughout the alignment, and always
+        those with equal values; a slot in conflict takes only the windows that touch it.
+        """
+        spans = starts[:, None] + np.arange(WINDOW)
+        here, place = np.unique(spans, return_inverse=True)
+        place = place.reshape(spans.shape)
+        x, y = ref.value[here], doc.value[here + shift]
+        kind = np.maximum(ref.slot[here], doc.slot[here + shift])
+        equal, slot = x == y, kind != 0
+        good = equal | slot
+        pairs, of = np.unique(np.stack([kind[slot].astype(np.uint64), x[slot], y[slot]]), axis=1, return_inverse=True)
+        alone = np.ones(pairs.shape[1], bool)
         for side in (1, 2):
-            if len(np.unique(pairs[[0, side]], axis=1).T) != pairs.shape[1]:
-                return None
-        return int((pairs[1] != pairs[2]).sum())
+            _, group, n = np.unique(pairs[[0, side]], axis=1, return_inverse=True, return_counts=True)
+            alone &= n[group.ravel()] == 1
+        good[slot] = alone[of.ravel()]
+        keep = good[place].all(axis=1) | equal[place].all(axis=1)
+        seen = np.zeros(len(here), bool)
+        seen[place[keep]] = True
+        differ = seen[slot] & ~equal[slot]
+        return starts[keep], len(np.unique(of.ravel()[differ]))
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str):

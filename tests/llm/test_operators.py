@@ -393,6 +393,24 @@ def test_leaks(spark, text, found):
     assert [(r.doc_id, r.item_id) for r in got] == ([(1, 3)] if found else [])
 
 
+@pytest.mark.parametrize("text", [
+    ITEM.replace("sold 5", "sold 6"),
+    "Tom left. " + ITEM.replace("5 pears and", "6 pears and"),
+    ITEM.replace("5 pears", "20 pears", 1),
+])
+def test_one_edited_slot_leaves_the_rest_of_a_copy(spark, text):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = decontam.find_leaks(docs, spark.createDataFrame([(3, ITEM)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id, r.n_changed_slots) for r in got] == [(1, 3, 0)]
+
+
+def test_slots_that_meet_take_only_their_windows(spark):
+    tail = "the gardener carried all of them down to the old market by the river"
+    docs = spark.createDataFrame([(1, f"We had 4 pears and 4 plums and {tail}")], "doc_id long, text string")
+    bench = spark.createDataFrame([(3, f"We had 3 pears and 5 plums and {tail}")], "item_id long, text string")
+    assert decontam.find_leaks(docs, bench).count() == 1
+
+
 def test_leaks_equal_brute_force(spark, sf_dir, docs, texts, monkeypatch):
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     flat = lambda t: f" {' '.join(re.findall(r'[^\W\d_]+|\d+', (t or '').lower()))} "
