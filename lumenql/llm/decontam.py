@@ -6,7 +6,9 @@ the benchmark's in a hash join. A match of window positions gives an alignment o
 document with an item; within it the tokens must agree and the slots must be consistent:
 one value of the item stands for one value of the document throughout, and the other way
 round. Windows with a slot that breaks this do not count, unless their values are equal. Questions that were re-parameterised pass, chance meetings of different slots do
-not. An item is leaked if aligned windows cover enough of its tokens.
+not. An item is leaked if aligned windows cover enough of its tokens; an item shorter than
+a window is leaked if it stands in a document as it is. Scripts without spaces between
+words have a token for each character.
 
 Names are capitalised words inside sentences. As copies may change case, items and
 documents are compared in two forms: with names as slots, and caseless with names as words.
@@ -28,7 +30,9 @@ from .pretoken import Cache
 WINDOW, COVERAGE = 5, 0.5
 #: Template windows of one block of items; a larger benchmark is taken block by block.
 BLOCK_WINDOWS = 1 << 20
-TOKEN = re.compile(r"\d+(?:[.,:]\d+)*|[^\W\d_]+|[.!?\n]")
+#: Letters and marks of scripts without spaces between words; each is a token of its own.
+_SINGLE = "\u0E01-\u0E3A\u0E40-\u0E4E\u0E81-\u0ECE\u0EDC-\u0EDF\u1000-\u103F\u1050-\u108F\u1780-\u17D3\u3005-\u3007\u3041-\u309A\u309D-\u309F\u30A1-\u30FA\u30FC-\u30FF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uFF66-\uFF9F\U00020000-\U0003FFFF"
+TOKEN = re.compile(rf"\d+(?:[.,:]\d+)*|[^\W\d_{_SINGLE}]+|[{_SINGLE}]|[.!?\n]")
 WORD, CAPITAL, NUMBER, END, UNIT = range(5)
 #: Unit words that follow a number.
 UNITS = frozenset("mm cm m km in ft yd mi mg g kg lb oz ml l s sec min h hr hrs hour hours minute minutes second seconds day days week weeks month months year years meter meters metre metres kilometer kilometers mile miles gram grams kilogram kilograms pound pounds liter liters litre litres dollar dollars cent cents euro euros usd eur percent degrees kb mb gb".split())
@@ -81,13 +85,13 @@ def template(text: str, codes: Cache) -> Template:
     return Template(coded, typed, caseless, slot)
 
 
-def windows(codes: np.ndarray) -> np.ndarray:
-    """One hash for each window of ``WINDOW`` codes."""
-    n = len(codes) - WINDOW + 1
+def windows(codes: np.ndarray, width: int = WINDOW) -> np.ndarray:
+    """One hash for each window of ``width`` codes, ``WINDOW`` at most."""
+    n = len(codes) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     out = np.zeros(n, np.uint64)
-    for k in range(WINDOW):
+    for k in range(width):
         part = codes[k : k + n] * _MULTIPLIER[k]
         out += part ^ (part >> np.uint64(29))
     return out
@@ -112,6 +116,14 @@ class Index:
         h, w, a = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (hashed, where, at))
         order = np.argsort(h, kind="stable")
         self.hash, self.item, self.at = h[order], w[order].astype(np.int64), a[order].astype(np.int64)
+        #: Items below the window width: width -> sorted hashes of their values, and the items.
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for width in range(1, WINDOW):
+            of = np.array([k for k, item in enumerate(self.items) if len(item.value) == width], np.int64)
+            if len(of):
+                h = np.concatenate([windows(self.items[k].value, width) for k in of])
+                order = np.argsort(h, kind="stable")
+                self.short[width] = h[order], of[order]
         self.seen = np.zeros(1 << self.BITS, bool)
         self.seen[self.hash >> np.uint64(64 - self.BITS)] = True
 
@@ -125,13 +137,27 @@ class Index:
         entry = low[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
         return pos[of], self.item[entry], self.at[entry]
 
+    def _whole(self, doc: Template) -> list[tuple]:
+        """Items below the window width that stand in a document with equal values."""
+        out = []
+        for width, (hashes, of) in self.short.items():
+            h = windows(doc.value, width)
+            low, high = (np.searchsorted(hashes, h, side=s) for s in ("left", "right"))
+            places: dict[int, int] = {}
+            for pos in np.flatnonzero(high > low):
+                for k in of[low[pos] : high[pos]].tolist():
+                    if (doc.value[pos : pos + width] == self.items[k].value).all():
+                        places[k] = places.get(k, 0) + 1
+            out += [(self.ids[k], n, 1.0, 0) for k, n in places.items()]
+        return out
+
     def leaks(self, doc: Template, coverage: float = COVERAGE) -> list[tuple]:
         """Leaked items: id, windows aligned, share of the item's tokens, slots that were re-parameterised."""
         found = [self.hits(form) for form in ((doc.typed, doc.caseless) if (doc.slot == 3).any() else (doc.caseless,))]
         pos, item, at = (np.concatenate(x) for x in zip(*found))
+        out = self._whole(doc)
         if not len(pos):
-            return []
-        out = []
+            return out
         order = np.lexsort((at, pos - at, item))
         pos, item, at = pos[order], item[order], at[order]
         cuts = np.flatnonzero(np.r_[True, item[1:] != item[:-1]])
@@ -184,7 +210,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str):
     for row in benchmark.select(F.col(item_col).cast("long"), text_col).toLocalIterator():
         text = row[1] or ""
         held.append((row[0], text))
-        size += 2 * (1 + text.count(" ") + text.count("\n"))
+        size += 2 * (1 + len(TOKEN.findall(text)))
         if size >= BLOCK_WINDOWS:
             yield Index(held)
             held, size = [], 0
@@ -200,8 +226,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
     ``BLOCK_WINDOWS`` windows, one pass over the documents for each, so no block grows
     with the data and no document's windows are shuffled.
 
-    Null and empty texts hold nothing and nothing is found of items of fewer than five
-    tokens. Equal documents give equal rows, and extra columns are ignored.
+    Null and empty texts hold nothing, and nothing is found of items without a token.
+    Items of fewer than five tokens are found where all their tokens stand with equal
+    values; ``n_windows`` then counts the places. Equal documents give equal rows, and extra columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sc = docs.sparkSession.sparkContext

@@ -411,6 +411,17 @@ def test_slots_that_meet_take_only_their_windows(spark):
     assert decontam.find_leaks(docs, bench).count() == 1
 
 
+@pytest.mark.parametrize(("item", "text", "found"), [
+    ("What is 12*7?", "Quiz. what is 12*7? Easy.", True), ("What is 12*7?", "What is 12*8?", False), ("What is 12*7?", "What is 12", False),
+    ("水的沸点是多少度", "问题:请问水的沸点是多少度呢", True), ("水的沸点是多少度", "今天天气很好我们去公园", False), ("沸点", "水的沸点", True),
+    ("ประเทศไทยมีกี่จังหวัด", "ถามว่าประเทศไทยมีกี่จังหวัดครับ", True), ("東京はどこですか", "では東京はどこですかと聞く", True),
+])
+def test_short_items_and_scripts_without_spaces(spark, item, text, found):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = decontam.find_leaks(docs, spark.createDataFrame([(3, item), (4, None), (5, "?")], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id) for r in got] == ([(1, 3)] if found else [])
+
+
 def test_leaks_equal_brute_force(spark, sf_dir, docs, texts, monkeypatch):
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     flat = lambda t: f" {' '.join(re.findall(r'[^\W\d_]+|\d+', (t or '').lower()))} "
