@@ -35,18 +35,27 @@ ALLOWED = (
     r"(?i)example|sample|dummy|placeholder|changeme|xxxx",
     r"(?i)0123456789|abcdefghij",
 )
+#: Candidates of one letter case, grouped keys and padding included, with two runs of digits at least.
+SINGLE_CASE = r"^(?=.*[0-9][^0-9]+[0-9])([a-z0-9]+|[A-Z0-9]+=*|[A-Z0-9]{4,8}(-[A-Z0-9]{4,8}){2,})$"
+#: Candidates of one case need a digit for so many characters; words and identifiers have fewer.
+DIGIT_EVERY = 16
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 _SCALE = 1_000_000
 
 
 @dataclass(frozen=True)
 class Rules:
-    """Parameters of the scan: window width, entropy limits in bits by class, allow-list patterns."""
+    """Parameters of the scan: window width, entropy limits in bits by class, allow-list patterns.
+
+    ``single_bits`` is the limit of candidates of one letter case that are not pure
+    hexadecimal; None leaves them unscanned, as the SQL oracle of the query does.
+    """
 
     window: int = 20
     hex_bits: float = 3.0
     alnum_bits: float = 3.6
     base64_bits: float = 3.7
+    single_bits: float | None = None
     allowed: tuple[str, ...] = field(default=ALLOWED)
 
     def most(self, bits: float) -> int:
@@ -89,7 +98,12 @@ def _hot_part(candidate: Column, rules: Rules) -> Column:
     kind = F.when(candidate.rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit(rules.most(rules.hex_bits)))
     mixed = candidate.rlike("[a-z]") & candidate.rlike("[A-Z]")
     kind = kind.when(mixed & candidate.rlike("^[A-Za-z0-9]+$"), F.lit(rules.most(rules.alnum_bits)))
-    limit = kind.when(mixed, F.lit(rules.most(rules.base64_bits))).otherwise(F.lit(-1))
+    kind = kind.when(mixed, F.lit(rules.most(rules.base64_bits)))
+    if rules.single_bits is not None:
+        digits = F.length(F.regexp_replace(candidate, "[^0-9]", ""))
+        single = candidate.rlike(SINGLE_CASE) & (digits * DIGIT_EVERY >= F.length(candidate))
+        kind = kind.when(single, F.lit(rules.most(rules.single_bits)))
+    limit = kind.otherwise(F.lit(-1))
     codes = F.transform(F.array_remove(F.split(candidate, ""), ""), F.ascii)
     gone = F.concat(F.array_repeat(F.lit(-1), rules.window), codes)
     pairs = F.slice(F.arrays_zip(codes.alias("new"), gone.alias("old")), 1, F.length(candidate))

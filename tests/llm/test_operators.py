@@ -166,6 +166,20 @@ def test_entropy_counts(spark):
         assert got[k] == ([] if skip or not hot else [(hot[0], 3, hot[-1] + 20)]), (k, text)
 
 
+def test_pipeline_masks_random_strings_of_one_case(spark, sf_dir):
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    kinds = [("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 52), ("abcdefghijklmnopqrstuvwxyz234567", 52), ("abcdefghijklmnopqrstuvwxyz0123456789", 40), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 32)]
+    secrets = ["".join(rng.choices(a, k=n)) for a, n in kinds for _ in range(25)] + ["Q7RT2-M9XKP-4WZ8C-H3VNB-6JDL5", "JBSWY3DPEHPK3PXPK5TQ2M4N7RZ6Y3LW===="]
+    plain = ["thequickbrownfoxjumpsoverthelazydog1", "internationalization2024", "3f2504e0-4f89-41d3-9a0c-0305e82c3301", "z1z1z1z1z1z1z1z1z1z1z1z1", "chapter-12/section-03/page-0045"]
+    docs = spark.createDataFrame([(k, f"see {t} here", "en", "s", 1) for k, t in enumerate(secrets + plain)], DOC)
+    got = {r.doc_id: r.text for r in corpus_pipeline.secrets_stage(spark, docs, sf_dir).collect()}
+    missed = [t for k, t in enumerate(secrets) if "<secret>" not in got[k] or len(got[k]) > 30]
+    assert not missed
+    assert all(got[len(secrets) + k] == f"see {t} here" for k, t in enumerate(plain))
+
+
 def test_secret_edges(edge, none):
     got = secret_scan.scan_secrets(edge, out="found")
     assert {len(r.found) for r in got.collect()} == {0} and got.count() == len(EDGE)
