@@ -229,10 +229,10 @@ def sqlite_table(spark, sf_dir):
     import sqlite3
 
     path = os.path.join(tempfile.mkdtemp(), "db.sqlite")
-    rows = [tuple(r) for r in read(spark, sf_dir, "supplier").select("s_suppkey", "s_name").orderBy("s_suppkey").limit(1000).collect()]
     with sqlite3.connect(path) as db:
         db.execute("create table supplier (s_suppkey integer, s_name text)")
-        db.executemany("insert into supplier values (?, ?)", rows)
+        # The insert draws the rows partition by partition, so the driver never holds the table.
+        db.executemany("insert into supplier values (?, ?)", map(tuple, read(spark, sf_dir, "supplier").select("s_suppkey", "s_name").toLocalIterator()))
     return Engine(spark, sqlite=path).sql("select s_suppkey as k, s_name as name from #sqlite.supplier() where s_suppkey >= 3 and s_suppkey <= 40")
 
 
