@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,22 +21,56 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor and the driver see.
 
     The cluster names it in ``spark.checkpoint.dir``. Only where neither that nor
-    ``SparkContext.setCheckpointDir`` is set (tests, notebooks on one machine) a
-    local folder is made and set.
+    ``SparkContext.setCheckpointDir`` is set and the master is local (tests, notebooks on
+    one machine) a local folder is made and set; on a cluster this raises.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not named:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         named = current.get() if current.isDefined() else None
     if not named:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder under the master {master}")
         named = tempfile.mkdtemp(prefix="lumenql-shared-")
         spark.sparkContext.setCheckpointDir(named)
     return str(named).rstrip("/")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+#: Paths that ``scratch`` gave out inside the innermost ``scratch_scope``.
+_scopes: list[list[str]] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/lumenql/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, deleted when the driver ends or, earlier, by ``scratch_scope``."""
+    own = f"{shared_dir(spark)}/lumenql/{spark.sparkContext.applicationId}"
+    path = f"{own}/{name}-{uuid.uuid4().hex}"
+    folder, fs = _hadoop(spark, own)
+    fs.mkdirs(folder)  # only a path that exists is noted for deletion
+    fs.deleteOnExit(folder)
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete what operators keep in the shared folder within the block, when it ends.
+
+    For a caller who writes the result inside the block; a lazy result must not outlive it.
+    The value of the block is a function that excepts a path.
+    """
+    _scopes.append([])
+    try:
+        yield _scopes[-1].remove
+    finally:
+        for path in _scopes.pop():
+            discard(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -49,8 +87,47 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a table that ``materialize`` wrote."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+    jvm_path, fs = _hadoop(spark, path)
+    fs.delete(jvm_path, True)
+
+
+def text_key(text: Column) -> list[Column]:
+    """Two independent 64-bit hashes of a text; null counts as empty. Together they name it."""
+    whole = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(whole), F.xxhash64(F.lit(7), whole)]
+
+
+def in_groups(df: DataFrame, keys: list[str], use, schema: str, order: Column | None = None) -> DataFrame:
+    """``use(table)`` for the rows of each group of ``keys``, as batches; one group at a time is in memory.
+
+    Groups must be bounded. Rows are exchanged and sorted by the keys, which are long
+    columns without nulls, and by ``order`` within them.
+    """
+    ordered = df.repartition(*keys).sortWithinPartitions(*keys, *([] if order is None else [order]))
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(batch.schema.get_field_index(k)).to_numpy() for k in keys]
+            cuts = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1
+            begins = [0, *cuts.tolist(), batch.num_rows]
+            first = tuple(c[0] for c in columns)
+            if held and first != last:
+                yield from use(pa.Table.from_batches(held))
+                held = []
+            for k, (begin, end) in enumerate(zip(begins, begins[1:])):
+                if k:
+                    yield from use(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(begin, end - begin))
+            last = tuple(c[-1] for c in columns)
+        if held:
+            yield from use(pa.Table.from_batches(held))
+
+    return ordered.mapInArrow(run, schema)
 
 
 def words(text: Column) -> Column:

@@ -6,8 +6,8 @@
    two blocks at least, so each node is dealt to the ten pairs of blocks. A pair's common
    value names a bucket of about 26 bits.
 4. In each bucket a Gray-order index links nodes (``gray.py``). A bucket above
-   ``bucket_rows`` is dealt into chunks, and each pair of chunks is a task of its own, so
-   no bucket outgrows a task and no pair is lost.
+   ``bucket_rows`` is dealt again by parts of its free bits, so no bucket outgrows a task
+   and no pair is lost.
 5. Buckets yield stars, which large-star and small-star steps join to components.
 """
 
@@ -21,18 +21,37 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import in_groups, materialize, text_key
 from .components import connected_components
 from .gray import gray_rank, link
 
 BITS, SEED, RADIUS = 64, 42, 3
 WIDTHS = (13, 13, 13, 13, 12)
+#: Last level of dealing; see ``bucket_links``.
+DEEPEST = 3
 #: Shingles that are hashed at once.
 SLICE = 1 << 16
 _BIT_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.float64)
 _BYTE_AT = (np.arange(8) * 256)[None, :]
 
 
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit, by byte and bit."""
+    return np.bincount((hashes.view(np.uint8).reshape(-1, 8) + _BYTE_AT).ravel(), minlength=2048).reshape(8, 256) @ _BIT_OF_BYTE
+
+
+def _pack(ones: np.ndarray, n: int) -> int:
+    return int(np.packbits((2 * ones > n).ravel(), bitorder="little").view(np.int64)[0])
+
+
+def mark_bits(hashes: np.ndarray) -> int:
+    """SimHash of 64-bit hashes, as a signed integer: a bit is 1 if over half of them have it."""
+    ones = np.zeros((8, 8))
+    for begin in range(0, len(hashes), SLICE):
+        ones += _ones(hashes[begin : begin + SLICE])
+    return _pack(ones, len(hashes))
+
+
 def fingerprint(text: str | None, shingle: int = 3) -> int:
     """The SimHash of a text's word shingles as a signed 64-bit integer.
 
@@ -49,31 +68,45 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
         part = tokens[begin : begin + SLICE + shingle - 1]
         rows = map(b" ".join, zip(*(part[k:] for k in range(shingle)))) if len(part) >= shingle else [b" ".join(part)]
         hashes = np.fromiter((digest(x, SEED) for x in rows), dtype=np.uint64)
-        seen = np.bincount((hashes.view(np.uint8).reshape(-1, 8) + _BYTE_AT).ravel(), minlength=2048).reshape(8, 256)
-        ones += seen @ _BIT_OF_BYTE
-    return int(np.packbits((2 * ones > n).ravel(), bitorder="little").view(np.int64)[0])
+        ones += _ones(hashes)
+    return _pack(ones, n)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """One row for each document: ``doc_id`` and ``fp`` (signed 64-bit). Null texts count as empty."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each document: ``doc_id``, ``fp`` (signed 64-bit) and the long columns ``keep``. Null texts count as empty."""
+    names = ["doc_id", "fp", *keep]
 
     def run(batches):
         for batch in batches:
             fps = [fingerprint(x.as_py(), shingle) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), *batch.columns[2:]], names)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *keep)
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
-def _bucket_keys(fp: Column) -> Column:
-    """The ten bucket keys of a fingerprint: which two blocks, and their bits."""
-    block, low = [], 0
+def _masks(level: int) -> list[int]:
+    """The bits that the members of each kind of bucket share.
+
+    At level 0 the kinds are the pairs of blocks. The kinds ``4 * k`` to ``4 * k + 3`` below
+    kind ``k`` add a quarter of its free bits each: fingerprints that differ in three bits
+    share one quarter at least.
+    """
+    if level:
+        free = lambda mask: [1 << k for k in range(BITS) if not mask >> k & 1]
+        return [mask | sum(free(mask)[k :: RADIUS + 1]) for mask in _masks(level - 1) for k in range(RADIUS + 1)]
+    low, block = 0, []
     for width in WIDTHS:
-        block.append(F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << width) - 1)))
+        block.append((1 << width) - 1 << low)
         low += width
-    pairs = combinations(range(len(WIDTHS)), 2)
-    return F.array(*(F.lit(k << 26) + F.shiftleft(block[i], 13) + block[j] for k, (i, j) in enumerate(pairs)))
+    return [a | b for a, b in combinations(block, 2)]
+
+
+def _dealt(rows: DataFrame, kinds: Column, level: int) -> DataFrame:
+    """Rows in the buckets of an array of kinds: ``kind``, ``part`` (the shared bits), ``fp``, ``rep``."""
+    masks = F.array(*(F.lit(m - (1 << BITS) if m >> BITS - 1 else m).cast("long") for m in _masks(level)))
+    out = rows.select("fp", "rep", F.explode(kinds).alias("kind"))
+    return out.select(F.col("kind").cast("long").alias("kind"), F.col("fp").bitwiseAND(F.element_at(masks, F.col("kind").cast("int") + 1)).alias("part"), "fp", "rep")
 
 
 def _rank(fp: Column) -> Column:
@@ -82,51 +115,46 @@ def _rank(fp: Column) -> Column:
     return fp
 
 
+def _stars(table: pa.Table, radius: int):
+    values, rep = table.column("fp").to_numpy().view(np.uint64), table.column("rep").to_numpy()
+    if len(values) > 1:
+        order = np.argsort(gray_rank(values), kind="stable")
+        label = link(values[order], np.zeros(len(values), np.int64), radius)
+        child = np.flatnonzero(label != np.arange(len(label)))
+        yield pa.RecordBatch.from_arrays([pa.array(rep[order][child]), pa.array(rep[order][label[child]])], ["a", "b"])
+
+
 def bucket_links(nodes: DataFrame, radius: int = RADIUS, bucket_rows: int = 4096) -> DataFrame:
-    """Stars of links within buckets: columns ``a``, ``b`` (node ids), from ``fp`` and ``rep``."""
+    """Stars of links within buckets: columns ``a``, ``b`` (node ids), from distinct ``fp`` and their ``rep``.
+
+    A bucket above ``bucket_rows`` is dealt again by quarters of its free bits, level by
+    level; at ``DEEPEST`` 18 free bits are left, so no bucket holds more than 2**18
+    fingerprints. A node is in ten buckets, and in four for each one that was too large:
+    the number of rows never grows with the square of a bucket's size.
+    """
     if radius > RADIUS:
         raise ValueError(f"five blocks find links of {RADIUS} differing bits at most")
-    dealt = nodes.select("fp", "rep", F.explode(_bucket_keys(F.col("fp"))).alias("bucket"))
-    hot = dealt.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > bucket_rows)
-    chunks = F.coalesce(F.ceil(F.col("n") * 2 / bucket_rows), F.lit(1)).cast("int")
-    # The key is written differently after the aggregate, so that a hot bucket's rows can be split in the join.
-    hot = hot.select(F.col("bucket").bitwiseXOR(F.lit(1)).alias("key"), chunks.alias("chunks"))
-    tiled = dealt.withColumn("key", F.col("bucket").bitwiseXOR(F.lit(1))).join(hot, "key", "left")
-    own = F.pmod(F.xxhash64("fp"), F.col("chunks").cast("long")).cast("int")
-    tiles = F.when(F.col("chunks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(
-        F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda k: F.least(own, k).cast("long") * F.lit(1 << 31) + F.greatest(own, k).cast("long"))
-    )
-    tiled = tiled.select("bucket", "fp", "rep", F.explode(tiles).alias("tile"))
-    tiled = tiled.repartition("bucket", "tile").sortWithinPartitions("bucket", "tile", _rank(F.col("fp")))
-
-    def run(batches):
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            table = pa.Table.from_batches(held)
-            bucket, tile = (table.column(c).to_numpy() for c in ("bucket", "tile"))
-            last = int(np.searchsorted(bucket, bucket[-1])) if len(bucket) else 0
-            same = np.flatnonzero(tile[last:] == tile[-1]) if len(bucket) else np.zeros(0, int)
-            cut = last + int(same[0]) if len(same) else 0
-            if cut:
-                yield from stars(table.slice(0, cut))
-            held = table.slice(cut).to_batches()
-        if held:
-            yield from stars(pa.Table.from_batches(held))
-
-    def stars(table: pa.Table):
-        bucket, tile, fp, rep = (table.column(c).to_numpy() for c in ("bucket", "tile", "fp", "rep"))
-        begins = np.r_[True, (bucket[1:] != bucket[:-1]) | (tile[1:] != tile[:-1])]
-        group = np.cumsum(begins)
-        several = np.bincount(group)[group] > 1
-        values, group, rep = fp[several].view(np.uint64), group[several], rep[several]
-        order = np.lexsort((gray_rank(values), group))
-        values, group, rep = values[order], group[order], rep[order]
-        label = link(values, group, radius)
-        child = np.flatnonzero(label != np.arange(len(label)))
-        yield pa.RecordBatch.from_arrays([pa.array(rep[child]), pa.array(rep[label[child]])], ["a", "b"])
-
-    return tiled.select("bucket", "tile", "fp", "rep").mapInArrow(run, "a long, b long")
+    use = lambda table: _stars(table, radius)
+    rows = _dealt(nodes, F.sequence(F.lit(0), F.lit(len(_masks(0)) - 1)), 0)
+    out = None
+    for level in range(DEEPEST + 1):
+        part, crowded = rows, None
+        if level < DEEPEST:
+            # The key is written differently from the rows', so that a crowded bucket's rows can be split in the joins.
+            key = F.col("part").bitwiseXOR(F.lit(1))
+            crowded, _ = materialize(rows.groupBy("kind", "part").agg(F.count("*").alias("n")).where(F.col("n") > bucket_rows).select(F.col("kind").alias("k"), key.alias("p")), "crowded")
+            if crowded.isEmpty():
+                crowded = None
+            else:
+                meet = (F.col("kind") == F.col("k")) & (key == F.col("p"))
+                part = rows.join(crowded, meet, "left_anti")
+                below = F.transform(F.sequence(F.lit(0), F.lit(RADIUS)), lambda k: F.col("kind") * (RADIUS + 1) + k)
+                rows, _ = materialize(_dealt(rows.join(crowded, meet, "left_semi"), below, level + 1), "crowded-rows")
+        found = in_groups(part, ["kind", "part"], use, "a long, b long", _rank(F.col("fp")))
+        out = found if out is None else out.union(found)
+        if crowded is None:
+            break
+    return out
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3, radius: int = RADIUS, bucket_rows: int = 4096) -> DataFrame:
@@ -148,11 +176,39 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return by_doc.join(named, by_doc.fp == named.of, "left").select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+def keep_one(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each class, columns unchanged.
+
+    ``classes`` has ``doc_id``, the text's key ``a``, ``b``, and ``class``, for every row of
+    ``docs``. The row with the smallest id stays, one without an id only where no other is
+    in the class; among texts that share this id the one with the smallest key, and of
+    rows that repeat both, one.
+    """
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "a", "b")
+    rows = classes.groupBy("class", "doc_id", "a", "b").agg(F.count("*").alias("n"))
+    stays = rows.groupBy("class").agg(F.min(F.struct(*(first[c].alias(c) for c in ("unnamed", "doc_id", "a", "b")), "n")).alias("s"))
+    stays, _ = materialize(stays.select(F.col("s.doc_id").alias("__id"), F.col("s.a").alias("__a"), F.col("s.b").alias("__b"), (F.col("s.n") > 1).alias("__more")), "stays")
+    a, b = text_key(docs[text_col])
+    meet = lambda side: (a == side["__a"]) & (b == side["__b"]) & docs[id_col].cast("long").eqNullSafe(side["__id"])
+    single, several = stays.where("not __more"), stays.where("__more")
+    repeated = docs.join(several, meet(several), "left_semi")
+    # Rows that repeat are told by id and key; the other columns come from any one of them.
+    whole = repeated.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("i"), *(k.alias(n) for k, n in zip(text_key(F.col(text_col)), ("x", "y"))))
+    one = whole.dropDuplicates(["i", "x", "y"]).select("row.*")
+    return docs.join(single, meet(single), "left_semi").union(one)
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents that name their group: one for each near-duplicate group, columns unchanged.
+    """One row for each group of documents that ``simhash_components`` links, columns unchanged.
 
-    Rows without an id are kept, as no group can name them.
+    The row with the smallest id stays. Rows are told apart by id and text: a text that
+    shares its id with another group's is a document of its own, and of rows that repeat
+    id and text one stays. Rows without an id belong to the group of their text. Null and
+    empty texts are one group; very long texts are read whole; an empty table stays empty.
     """
-    ids = simhash_components(docs, id_col, text_col, **options)
-    going = ids.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("__going")).distinct()
-    return docs.join(going, docs[id_col].cast("long") == going["__going"], "left_anti")
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    prints, _ = materialize(fingerprints(keyed.withColumns(dict(zip("ab", text_key(F.col("text"))))), shingle=options.get("shingle", 3), keep=("a", "b")), "fingerprints")
+    nodes, _ = materialize(prints.select("fp", F.col("fp").alias("rep")).distinct(), "nodes")
+    found, _ = connected_components(bucket_links(nodes, options.get("radius", RADIUS), options.get("bucket_rows", 4096)))
+    named = nodes.join(found, nodes.rep == found.hi, "left").select(F.col("fp").alias("of"), F.coalesce("lo", "fp").alias("class"))
+    return keep_one(docs, prints.join(named, prints.fp == named.of).select("doc_id", "a", "b", "class"), id_col, text_col)

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from lumenql.llm import bpe, decontam, gray, oracles, pretoken, quality, queries, secret_scan, sharding, simhash, simple8b, token_file, toxicity, url_reputation, warc
+from lumenql.llm import bpe, decontam, gray, near_dup, oracles, pretoken, quality, queries, secret_scan, sharding, simhash, simple8b, token_file, toxicity, url_reputation, warc
 from lumenql.llm.common import materialize
 from lumenql.llm.components import connected_components
 from tests.oracle_check import compare
@@ -120,6 +120,70 @@ def test_simhash_hot_buckets(spark):
     check_components(spark.createDataFrame(list(rows.items()), "doc_id long, text string"), rows, bucket_rows=6)
 
 
+def brute_classes(rows, similarity=0.8):
+    """Smallest row number of each near-duplicate class, by comparing every pair."""
+    sets = []
+    for text in rows:
+        words = (text or "").encode().lower().split()
+        sets.append({tuple(words[k : k + 5]) for k in range(len(words) - 4)} or {tuple(words)})
+    links = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9]
+    return components(links, len(sets))
+
+
+def varied(rng, n, words, edits, name):
+    base = [f"w{rng.randrange(500)}" for _ in range(words)]
+    out = []
+    for k in range(n):
+        own = list(base)
+        for j in range(rng.randrange(edits)):
+            own[rng.randrange(words)] = f"{name}{k}x{j}"
+        out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_near_duplicate_classes(spark, monkeypatch, small):
+    """All links at a Jaccard of 0.8, in one chunk and where keys and candidates are dealt into many."""
+    if small:
+        monkeypatch.setattr(near_dup, "CHUNK_TEXTS", 6)
+    rng = random.Random(9)
+    rows = varied(rng, 60, 150, 4, "a") + varied(rng, 40, 80, 5, "b") + varied(rng, 50, 30, 3, "c") + [" ".join(f"u{rng.randrange(900)}" for _ in range(60)) for _ in range(30)]
+    rows += rows[:20] + ["One two", "one  TWO", "", None, "one"]
+    rng.shuffle(rows)
+    got = {r.doc_id: r["class"] for r in near_dup.near_duplicate_classes(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), bucket_rows=5 if small else near_dup.BUCKET_ROWS).collect()}
+    first = {}
+    for k in range(len(rows)):
+        first.setdefault(got[k], k)
+    want = brute_classes(rows)
+    smallest = {}
+    for k in range(len(rows)):
+        smallest.setdefault(want[k], k)
+    assert [first[got[k]] for k in range(len(rows))] == [smallest[want[k]] for k in range(len(rows))]
+    assert len(set(want)) < len(rows) - 60
+
+
+def test_set_links_equal_brute_force():
+    rng = random.Random(10)
+    for _ in range(60):
+        sets = [np.unique(np.array([rng.randrange(30) for _ in range(rng.randrange(1, 14))], np.uint64)) for _ in range(rng.randrange(2, 14))]
+        links = [(a, b) for a in range(len(sets)) for b in range(a) if len(x := set(sets[a].tolist()) & set(sets[b].tolist())) >= 0.8 * (len(sets[a]) + len(sets[b]) - len(x)) - 1e-9]
+        got = near_dup.link_sets(sets, np.arange(len(sets)), 0.8).tolist()
+        want = components(links, len(sets))
+        assert len(set(zip(got, want))) == len(set(want)) == len(set(got))
+
+
+@pytest.mark.parametrize("drop", [simhash.drop_near_duplicates, near_dup.drop_near_copies])
+def test_dropping_copies_tells_rows_by_id_and_text(spark, edge, none, drop):
+    a, b = "one text of several words in a row here", "an altogether different document with other words inside"
+    rows = [(1, a), (5, a), (5, b), (7, b), (1, a), (None, a), (None, None), (None, "a third text without any id that nobody else has got")]
+    got = drop(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, class int"))
+    assert got.columns == ["doc_id", "text", "class"]
+    assert sorted(((r.doc_id or 0), r.text or "") for r in got.collect()) == sorted([(1, a), (5, b), (0, ""), (0, rows[-1][1])])
+    kept = drop(edge)
+    assert kept.columns == edge.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 8]
+    assert drop(none).count() == 0
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 60)] + [(7, 7), (None, 3)]
     found, _ = connected_components(spark.createDataFrame(edges, "a long, b long"))
@@ -134,8 +198,6 @@ def test_simhash_edges(edge, none):
     assert by_id[1].fingerprint == "0" * 16 and {by_id[k].component_id for k in (1, 2, 7)} == {1}
     assert by_id[4].component_id == 3 and by_id[None].component_id is None
     assert simhash.simhash_components(none).count() == 0
-    kept = simhash.drop_near_duplicates(edge)
-    assert kept.columns == edge.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 8]
 
 
 # -- secrets
@@ -436,16 +498,74 @@ def test_short_items_and_scripts_without_spaces(spark, item, text, found):
     assert [(r.doc_id, r.item_id) for r in got] == ([(1, 3)] if found else [])
 
 
-def test_leaks_equal_brute_force(spark, sf_dir, docs, texts, monkeypatch):
+def brute_leaks(doc, item, share=decontam.COVERAGE):
+    """Whether a document leaks an item, by comparing every pair of windows token by token."""
+    codes = pretoken.Cache(decontam._token_code, 1 << 16)
+    d, t = decontam.template(doc, codes), decontam.template(item, codes)
+    w = decontam.WINDOW
+    if len(t.value) < w:
+        n = len(t.value)
+        return n > 0 and any((d.value[p : p + n] == t.value).all() for p in range(len(d.value) - n + 1))
+    same = lambda p, a, form: all(getattr(d, form)[p + j] == getattr(t, form)[a + j] for j in range(w))
+    plain = lambda x, p: sum(x.slot[p + j] in (0, 3) for j in range(w)) >= decontam.LEAST_WORDS
+    named = lambda x, p: sum(x.slot[p + j] == 0 for j in range(w)) >= decontam.LEAST_WORDS and any(x.slot[p + j] == 3 for j in range(w))
+    lines = {}
+    for p in range(len(d.value) - w + 1):
+        for a in range(len(t.value) - w + 1):
+            if (same(p, a, "value") and not plain(d, p) and not plain(t, a)) or (same(p, a, "caseless") and plain(d, p) and plain(t, a)) or (same(p, a, "typed") and named(d, p) and named(t, a)):
+                lines.setdefault(p - a, []).append(a)
+    covered = set()
+    for shift, starts in lines.items():
+        slots = {}
+        for i in {a + j for a in starts for j in range(w)}:
+            kind = max(t.slot[i], d.slot[i + shift])
+            if kind:
+                slots[i] = (kind, int(t.value[i]), int(d.value[i + shift]))
+        pairs = set(slots.values())
+        clash = {i for i, (k, x, y) in slots.items() if len({q for q in pairs if q[0] == k and q[1] == x}) > 1 or len({q for q in pairs if q[0] == k and q[2] == y}) > 1}
+        for a in starts:
+            span = range(a, a + w)
+            if all(t.value[i] == d.value[i + shift] for i in span) or not clash & set(span):
+                covered |= set(span)
+    return len(covered) >= share * len(t.value)
+
+
+def test_leaks_equal_brute_force(spark, sf_dir, docs, texts):
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    flat = lambda t: f" {' '.join(re.findall(r'[^\W\d_]+|\d+', (t or '').lower()))} "
-    items = {r.item_id: flat(r.text) for r in bench.collect()}
-    want = {(d, i) for d, t in texts.items() for i, x in items.items() if x in flat(t)}
-    for size in (1 << 20, 300):  # in one block and in many
-        monkeypatch.setattr(decontam, "BLOCK_WINDOWS", size)
-        assert {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, bench).collect()} >= want
+    items = {r.item_id: r.text for r in bench.collect()}
+    got = {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, bench).collect()}
     kept = decontam.drop_leaked(docs, bench)
-    assert kept.count() == docs.count() - len({d for d, _ in want}) and kept.columns == docs.columns
+    assert kept.count() == docs.count() - len({d for d, _ in got}) and kept.columns == docs.columns
+    short = {d: t for d, t in texts.items() if len(t or "") < 500}
+    assert {p for p in got if p[0] in short} == {(d, i) for d, t in short.items() for i, x in items.items() if brute_leaks(t or "", x)}
+
+
+def test_changed_questions_equal_brute_force(spark):
+    """Templates, names, units, number words and slots in conflict, in random mixtures."""
+    rng = random.Random(8)
+    pick = lambda: [rng.choice(["Tom", "Ann", "the", "pears", "5", "7", "seven", "twenty five", "kg", "sold", "for", ".", "bought", "12"]) for _ in range(rng.randrange(3, 14))]
+    items = [pick() for _ in range(12)]
+    docs = []
+    for _ in range(120):
+        words = [w if rng.random() > 0.15 else rng.choice(["Tom", "Eve", "9", "pears", "six"]) for w in rng.choice(items)]
+        docs.append(" ".join([*pick(), ".", *words, *pick()]))
+    rows, bench = list(enumerate(docs)), [(i, " ".join(x)) for i, x in enumerate(items)]
+    got = {(r.doc_id, r.item_id) for r in decontam.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    want = {(d, i) for d, t in rows for i, x in bench if brute_leaks(t, x)}
+    assert got == want and len(want) > 20
+
+
+def test_number_words_and_whole_short_items(spark):
+    item = "How many apples are left if five of the twenty apples in the basket are eaten?"
+    docs = spark.createDataFrame([(1, item.replace("five", "seven").replace("twenty", "thirty-one")), (2, item.replace("five", "5").replace("twenty", "20")), (3, "Capital of France?"), (4, "the basket is eaten")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item), (8, "Capital of France?")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, bench).collect()} == {(1, 7), (2, 7), (3, 8)}
+
+
+def test_leaked_rows_go_by_text(spark):
+    docs = spark.createDataFrame([(7, ITEM), (7, "a clean text of some words"), (None, ITEM), (None, "another clean text")], "doc_id long, text string")
+    kept = decontam.drop_leaked(docs, spark.createDataFrame([(1, ITEM), (1, ITEM)], "item_id long, text string"))
+    assert sorted(r.text for r in kept.collect()) == ["a clean text of some words", "another clean text"]
 
 
 def test_leak_edges(edge, none, spark):
@@ -498,9 +618,8 @@ def test_pipeline(spark, sf_dir, docs, tokenizer):
             report = quality.quality_report(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
             assert set(after) == {r.doc_id for r in report.where("kept").collect()}
         elif name.startswith("simhash"):
-            prints = {i: brute_fingerprint(r.text) for i, r in before.items()}
-            ids = sorted(prints)
-            label = components([(a, b) for a in range(len(ids)) for b in range(a) if (prints[ids[a]] ^ prints[ids[b]]).bit_count() <= 3], len(ids))
+            ids = sorted(before)
+            label = brute_classes([before[i].text for i in ids])
             assert set(after) == {ids[k] for k in set(label)}
         elif name.startswith("secret"):
             assert set(after) == set(before) and not any(re.search("[0-9a-f]{16}|AKIA[A-Z0-9]{14}", r.text or "") for r in after.values())
