@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenql.llm import bpe, decontam, quality, secret_scan, simhash
-from lumenql.llm.common import materialize, table
+from lumenql.llm import bpe, decontam, near_dup, quality, secret_scan
+from lumenql.llm.common import discard, materialize, scratch_scope, table
 from lumenql.llm.queries import tokenizer_path
 
 
@@ -15,8 +15,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each near-duplicate group."""
-    return simhash.drop_near_duplicates(docs)
+    """One document, the one with the smallest id, of each group that links at a Jaccard of 0.8 over five-word shingles."""
+    return near_dup.drop_near_copies(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +53,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; what a stage kept in the shared folder goes once its successor is written."""
+    docs, path = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs, _ = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        before = path
+        with scratch_scope(spark) as keep:
+            docs, path = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+            keep(path)
+        if before:
+            discard(spark, before)
     return docs
