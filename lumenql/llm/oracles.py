@@ -27,8 +27,8 @@ each_hit AS (SELECT rid, text, kind, least, gaps, hits, vals, unnest(range(1, le
 lens AS (SELECT rid, text, kind, i, length(hits[i]) AS n, length(gaps[i]) AS g, length(vals[i]) >= least AS good FROM each_hit),
 placed AS (SELECT rid, text, kind, n, good, sum(g + n) OVER (PARTITION BY rid, kind ORDER BY i) - n AS s FROM lens),
 spans AS (SELECT rid, text, kind, CAST(s AS BIGINT) AS s, CAST(s + n AS BIGINT) AS e FROM placed WHERE good),
-cand AS (SELECT rid, s, substr(text, s + 1, e - s) AS c FROM spans x WHERE kind = 3 AND NOT EXISTS (SELECT 1 FROM spans b WHERE b.rid = x.rid AND b.kind < 3 AND b.s < x.e AND x.s < b.e)),
-classed AS (SELECT rid, s, c, CASE WHEN regexp_matches(c, '^([0-9a-f]+|[0-9A-F]+)$') THEN {rules.most(rules.hex_bits)} WHEN regexp_matches(c, '[a-z]') AND regexp_matches(c, '[A-Z]') THEN CASE WHEN regexp_matches(c, '^[A-Za-z0-9]+$') THEN {rules.most(rules.alnum_bits)} ELSE {rules.most(rules.base64_bits)} END ELSE -1 END AS most FROM cand WHERE regexp_matches(c, '[0-9]') AND NOT ({allowed})),
+cand AS (SELECT rid, s, substr(text, s + 1, e - s) AS c FROM spans x WHERE kind = 3 AND NOT EXISTS (SELECT 1 FROM spans b WHERE b.rid = x.rid AND b.kind < 3 AND b.s <= x.s AND x.e <= b.e)),
+classed AS (SELECT rid, s, c, CASE WHEN regexp_matches(c, '^([0-9a-f]+|[0-9A-F]+)$') THEN {rules.most(rules.hex_bits)} WHEN regexp_matches(c, '[a-z]') AND regexp_matches(c, '[A-Z]') THEN CASE WHEN regexp_matches(c, '^[A-Za-z0-9]+$') THEN {rules.most(rules.alnum_bits)} ELSE {rules.most(rules.base64_bits)} END WHEN regexp_matches(c, '{secret_scan.SINGLE_CASE}') AND regexp_matches(c, '{secret_scan.TWO_RUNS}') AND {secret_scan.DIGIT_EVERY} * length(regexp_replace(c, '[^0-9]', '', 'g')) >= length(c) THEN {rules.most(rules.single_bits)} ELSE -1 END AS most FROM cand WHERE regexp_matches(c, '[0-9]') AND NOT ({allowed})),
 win AS (SELECT rid, s, most, unnest(range(0, length(c) - {w} + 1)) AS k, c FROM classed WHERE most >= 0),
 chars AS (SELECT rid, s, most, k, substr(c, k + j, 1) AS ch FROM win, unnest(range(1, {w + 1})) AS u(j)),
 counts AS (SELECT rid, s, most, k, ch, count(*) AS n FROM chars GROUP BY ALL),

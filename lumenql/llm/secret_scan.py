@@ -35,27 +35,31 @@ ALLOWED = (
     r"(?i)example|sample|dummy|placeholder|changeme|xxxx",
     r"(?i)0123456789|abcdefghij",
 )
-#: Candidates of one letter case, grouped keys and padding included, with two runs of digits at least.
-SINGLE_CASE = r"^(?=.*[0-9][^0-9]+[0-9])([a-z0-9]+|[A-Z0-9]+=*|[A-Z0-9]{4,8}(-[A-Z0-9]{4,8}){2,})$"
+#: Candidates of one letter case, grouped keys and padding included; two runs of digits at least.
+SINGLE_CASE = r"^([a-z0-9]+|[A-Z0-9]+=*|[A-Z0-9]{4,8}(-[A-Z0-9]{4,8}){2,})$"
+TWO_RUNS = r"[0-9][^0-9]+[0-9]"
 #: Candidates of one case need a digit for so many characters; words and identifiers have fewer.
 DIGIT_EVERY = 16
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 _SCALE = 1_000_000
+#: Counts of a window: candidate characters from ``+`` to ``z``, ten six-bit counts in each of eight words.
+FIRST, CELLS = 43, 10
 
 
 @dataclass(frozen=True)
 class Rules:
-    """Parameters of the scan: window width, entropy limits in bits by class, allow-list patterns.
+    """Parameters of the scan: window width (62 at most), entropy limits in bits by class, allow-list patterns.
 
     ``single_bits`` is the limit of candidates of one letter case that are not pure
-    hexadecimal; None leaves them unscanned, as the SQL oracle of the query does.
+    hexadecimal. Other candidates without letters of both cases (paths, words joined by
+    signs) are no class of their own and are not scanned.
     """
 
     window: int = 20
     hex_bits: float = 3.0
     alnum_bits: float = 3.6
     base64_bits: float = 3.7
-    single_bits: float | None = None
+    single_bits: float = 3.3
     allowed: tuple[str, ...] = field(default=ALLOWED)
 
     def most(self, bits: float) -> int:
@@ -66,17 +70,17 @@ class Rules:
         return [0, *(round(c * math.log2(c) * _SCALE) for c in range(1, self.window + 2))]
 
 
-def _matches(text: Column, pattern: str, kind: int, shortest: int = 0) -> Column:
-    """Spans of a pattern's matches; a match whose group 2 is shorter than ``shortest`` is passed over."""
+def _matches(text: Column, pattern: str, kind: int, shortest: int = 0, told: bool = False) -> Column:
+    """Spans of a pattern's matches, with their text if ``told``; a match whose group 2 is shorter than ``shortest`` is passed over."""
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"), F.regexp_extract_all(text, F.lit(pattern), F.lit(2)).alias("value"))
 
     def step(at: Column, part: Column) -> tuple[Column, Column, Column]:
         start = at + F.length(part["gap"])
         end = start + F.coalesce(F.length(part["hit"]), F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
+        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), *([part["hit"].alias("text")] if told else []))
         return end, span, part["hit"].isNotNull() & (F.length(part["value"]) >= shortest)
 
-    return running(parts, F.lit(0), _SPAN[6:-1], step)
+    return running(parts, F.lit(0), _SPAN[6:-2] + (",text:string>" if told else ">"), step)
 
 
 def _none() -> Column:
@@ -99,31 +103,30 @@ def _hot_part(candidate: Column, rules: Rules) -> Column:
     mixed = candidate.rlike("[a-z]") & candidate.rlike("[A-Z]")
     kind = kind.when(mixed & candidate.rlike("^[A-Za-z0-9]+$"), F.lit(rules.most(rules.alnum_bits)))
     kind = kind.when(mixed, F.lit(rules.most(rules.base64_bits)))
-    if rules.single_bits is not None:
-        digits = F.length(F.regexp_replace(candidate, "[^0-9]", ""))
-        single = candidate.rlike(SINGLE_CASE) & (digits * DIGIT_EVERY >= F.length(candidate))
-        kind = kind.when(single, F.lit(rules.most(rules.single_bits)))
-    limit = kind.otherwise(F.lit(-1))
-    codes = F.transform(F.array_remove(F.split(candidate, ""), ""), F.ascii)
+    digits = F.length(F.regexp_replace(candidate, "[^0-9]", ""))
+    single = candidate.rlike(SINGLE_CASE) & candidate.rlike(TWO_RUNS) & (digits * DIGIT_EVERY >= F.length(candidate))
+    limit = kind.when(single, F.lit(rules.most(rules.single_bits))).otherwise(F.lit(-1))
+    codes = F.transform(F.array_remove(F.split(candidate, ""), ""), lambda c: F.ascii(c) - FIRST)
     gone = F.concat(F.array_repeat(F.lit(-1), rules.window), codes)
     pairs = F.slice(F.arrays_zip(codes.alias("new"), gone.alias("old")), 1, F.length(candidate))
+    one = lambda code: F.call_function("shiftleft", F.lit(1).cast("long"), (code % CELLS) * 6)
 
     def step(acc: Column, p: Column) -> Column:
-        at = lambda k: F.element_at(acc["n"], k + 1)
+        at = lambda k: F.call_function("shiftrightunsigned", F.element_at(acc["n"], (k / CELLS).cast("int") + 1), (k % CELLS) * 6).bitwiseAND(F.lit(63).cast("long")).cast("int")
         term = lambda c: F.element_at(terms, c + 1)
-        counts = F.transform(acc["n"], lambda c, k: c + F.when(k == p["new"], 1).otherwise(0) - F.when(k == p["old"], 1).otherwise(0))
+        moved = lambda c, k: c + F.when(k == (p["new"] / CELLS).cast("int"), one(p["new"])).otherwise(0) - F.when((p["old"] >= 0) & (k == (p["old"] / CELLS).cast("int")), one(p["old"])).otherwise(0)
         rise = term(at(p["new"]) + 1) - term(at(p["new"]))
         fall = F.when(p["old"] < 0, 0).otherwise(term(at(p["old"]) - 1) - term(at(p["old"])))
         total = acc["s"] + F.when(p["new"] == p["old"], 0).otherwise(rise + fall)
         end = acc["i"] + 1
         hot = (end >= rules.window) & (total <= acc["limit"])
         return F.struct(
-            counts.alias("n"), total.alias("s"), end.alias("i"), acc["limit"].alias("limit"),
+            F.transform(acc["n"], moved).alias("n"), total.alias("s"), end.alias("i"), acc["limit"].alias("limit"),
             F.when(hot & acc["first"].isNull(), end - rules.window).otherwise(acc["first"]).alias("first"),
             F.when(hot, end).otherwise(acc["last"]).alias("last"),
         )
 
-    zero = F.struct(F.array_repeat(F.lit(0), 128).alias("n"), F.lit(0).alias("s"), F.lit(0).alias("i"), limit.alias("limit"), F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
+    zero = F.struct(F.array_repeat(F.lit(0).cast("long"), 8).alias("n"), F.lit(0).alias("s"), F.lit(0).alias("i"), limit.alias("limit"), F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
     scan = F.aggregate(pairs, zero, step, lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
     allowed = F.lit(False)
     for pattern in rules.allowed:
@@ -132,18 +135,18 @@ def _hot_part(candidate: Column, rules: Rules) -> Column:
 
 
 def entropy_spans(text: Column, base: Column, rules: Rules) -> Column:
-    """Spans that only the entropy scan finds; candidates that touch a base span are left to it."""
+    """Spans that the entropy scan finds; candidates that lie inside a base span are left to it."""
     pattern = CANDIDATE % rules.window
 
     def scan(found: Column) -> Column:
         def one(span: Column) -> Column:
-            hot = bind(F.substring(text, span["start"] + 1, span["end"] - span["start"]), lambda c: _hot_part(c, rules))
+            hot = bind(span["text"], lambda c: _hot_part(c, rules))
             return bind(hot, lambda h: F.struct((span["start"] + h["first"]).alias("start"), span["kind"].alias("kind"), (span["start"] + h["last"]).alias("end")))
 
-        touched = lambda span: F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-        return F.filter(F.transform(F.filter(found, lambda s: ~touched(s)), one), lambda s: s["start"].isNotNull())
+        inside = lambda span: F.exists(base, lambda b: (b["start"] <= span["start"]) & (span["end"] <= b["end"]))
+        return F.filter(F.transform(F.filter(found, lambda s: ~inside(s)), one), lambda s: s["start"].isNotNull())
 
-    return F.when(text.rlike(pattern), scan(_matches(text, pattern, 3))).otherwise(_none())
+    return F.when(text.rlike(pattern), scan(_matches(text, pattern, 3, told=True))).otherwise(_none())
 
 
 def scan_secrets(docs: DataFrame, text_col: str = "text", rules: Rules = Rules(), out: str = "secret_spans") -> DataFrame:
@@ -168,7 +171,11 @@ def of_kind(spans: Column, *kinds: str) -> Column:
 
 
 def redact(docs: DataFrame, text_col: str = "text", mask: str = "<secret>", rules: Rules = Rules()) -> DataFrame:
-    """The table with each run of overlapping spans in ``text_col`` replaced by ``mask``; null texts stay null."""
+    """The table with each run of overlapping spans in ``text_col`` replaced by ``mask``.
+
+    Null and empty texts stay as they are, repeated rows are masked alike, very long texts
+    are masked whole, other columns are unchanged, and an empty table stays empty.
+    """
     text = F.col(text_col)
 
     def step(at: Column, s: Column) -> tuple[Column, Column, Column]:

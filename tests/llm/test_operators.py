@@ -223,11 +223,21 @@ def test_entropy_counts(spark):
     terms = rules.terms()
     for k, text in rows:
         sums = [sum(terms[c] for c in Counter(text[i : i + 20]).values()) for i in range(len(text) - 19)]
-        hot = [i for i, s in enumerate(sums) if s <= rules.most(rules.alnum_bits)]
-        skip = not (re.search("[a-z]", text) and re.search("[A-Z]", text) and re.search("[0-9]", text)) or any(re.search(p, text) for p in rules.allowed) or re.search("[0-9a-f]{16}", text)
+        mixed = re.search("[a-z]", text) and re.search("[A-Z]", text)
+        alone = re.search(secret_scan.SINGLE_CASE, text) and re.search(secret_scan.TWO_RUNS, text) and 16 * sum(c.isdigit() for c in text) >= len(text)
+        bits = rules.hex_bits if re.fullmatch("[0-9a-f]+|[0-9A-F]+", text) else rules.alnum_bits if mixed else rules.single_bits
+        hot = [i for i, s in enumerate(sums) if s <= rules.most(bits)]
+        skip = not (mixed or alone) or not re.search("[0-9]", text) or any(re.search(p, text) for p in rules.allowed) or re.fullmatch("[0-9a-f]{16,}", text)
         assert got[k] == ([] if skip or not hot else [(hot[0], 3, hot[-1] + 20)]), (k, text)
 
 
+def test_secrets_around_a_base_span_go_whole(spark):
+    secret = "Zq7Lk2Pd9XsB9f3a1c7e5b2d8064af0Wm3Yt8RvN5Hc1"
+    rows = [(1, f"see {secret} here"), (2, "key k3j9x2m7q8w4z6t1v5b0n3c8 end"), (3, "K3J9X2M7Q8W4Z6T1V5B0N3C8"), (4, "token = " + secret)]
+    got = secret_scan.redact(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.text for r in got] == ["see <secret> here", "key <secret> end", "<secret>", "<secret>"]
+
+
 def test_pipeline_masks_random_strings_of_one_case(spark, sf_dir):
     import corpus_pipeline
 
