@@ -74,8 +74,12 @@ k AS (SELECT digest, max(page_id) AS keeper FROM p WHERE n >= 1000 GROUP BY dige
 SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN keeper <> page_id THEN keeper END AS refers_to FROM p LEFT JOIN k USING (digest)
 """
 
+#: For arrivals that stay in the lowest tier when merged: the first four make a merge, then each three more with its result.
+#: Each arrival and each merge commits a version.
 SHARDS = f"""
-SELECT doc_id, CAST(((doc_id % {ARRIVALS}) + {ARRIVALS}) % {ARRIVALS} AS INTEGER) AS arrival, octet_length(encode(text))::BIGINT AS n_bytes, sha256(text) AS text_sha256 FROM documents
+WITH d AS (SELECT doc_id, text, CAST(((doc_id % {ARRIVALS}) + {ARRIVALS}) % {ARRIVALS} AS INTEGER) AS arrival FROM documents),
+a AS (SELECT arrival, row_number() OVER (ORDER BY arrival) AS p, count(*) OVER () AS n FROM (SELECT DISTINCT arrival FROM d))
+SELECT doc_id, arrival, octet_length(encode(text))::BIGINT AS n_bytes, sha256(text) AS text_sha256, CAST(CASE WHEN p <= (n - 1) // 3 * 3 + 1 THEN (n - 1) // 3 ELSE 0 END AS INTEGER) AS n_merges, CAST(n + (n - 1) // 3 AS INTEGER) AS version FROM d JOIN a USING (arrival)
 """
 
 

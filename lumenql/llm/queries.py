@@ -17,7 +17,9 @@ URL_RULES = [
     url_reputation.rule("block", "example.net/de/8"),
     url_reputation.rule("block", "org/es/"),
 ]
-ARRIVALS = 8
+ARRIVALS = 11
+#: Runs up to this size are the lowest tier.
+BASE_BYTES = 64 << 20
 
 
 def tokenizer_path() -> str:
@@ -39,10 +41,15 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as the compacted store's newest version holds it."""
+    """Every document as the compacted store's newest version holds it, with that version and the merges behind its run.
+
+    Runs below ``BASE_BYTES`` are the lowest tier, of which any four make a merge.
+    """
     docs = table(spark, sf_dir, "documents").withColumn("arrival", F.pmod("doc_id", F.lit(ARRIVALS)).cast("int"))
-    rows = sharding.shard_table(docs, "arrival").read()
-    return rows.select("doc_id", "arrival", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+    store = sharding.shard_table(docs, "arrival", base_bytes=BASE_BYTES)
+    rows = store.read(shard=None, merges="n_merges")
+    text = (F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+    return rows.select("doc_id", "arrival", *text, "n_merges", F.lit(store.version()).alias("version"))
 
 
 def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:

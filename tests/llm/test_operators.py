@@ -284,9 +284,30 @@ def test_shards(spark, docs, tmp_path):
 
 
 def test_shard_edges(edge, none, spark, tmp_path):
-    store = sharding.shard_table(edge.withColumn("arrival", F.col("doc_id") % 2), "arrival", str(tmp_path / "e"))
-    assert store.read().count() == len(EDGE)
-    assert sharding.shard_table(none.withColumn("arrival", F.lit(0)), "arrival", str(tmp_path / "n")).version() == 0
+    clash = edge.withColumn("arrival", F.col("doc_id") % 2).withColumn("shard", F.lit("own")).withColumn("__batch", F.lit(5))
+    store = sharding.shard_table(clash, "arrival", str(tmp_path / "e"))
+    got = store.read(shard="file")
+    assert got.drop("file").columns == clash.columns and got.drop("file").exceptAll(clash).isEmpty() and got.count() == len(EDGE)
+    with pytest.raises(ValueError, match="shard"):
+        store.read()
+    empty = sharding.shard_table(none.withColumn("arrival", F.lit(0)), "arrival", str(tmp_path / "n"))
+    assert empty.version() == 1 and empty.read().count() == 0 and empty.read().columns == [*none.columns, "arrival", "shard"]
+    with pytest.raises(ValueError, match="no version"):
+        sharding.ShardStore(spark, str(tmp_path / "new")).read()
+
+
+def test_shard_writers_conflict(spark, docs, tmp_path):
+    """An append that loses a race is committed on the winner's version; files of the loser are not orphaned."""
+    one, two = (sharding.ShardStore(spark, str(tmp_path / "s")) for _ in range(2))
+    one.append(docs.where("doc_id < 50"))
+    honest = two.version
+    stale = iter([1])
+    one.append(docs.where("doc_id between 50 and 99"))
+    two.version = lambda: next(stale, None) or honest()
+    assert two.append(docs.where("doc_id >= 100")) == 3
+    assert one.read().count() == docs.count() and len(one.manifest()) == 3
+    with pytest.raises(ValueError, match="columns"):
+        one.append(docs.select("doc_id"))
 
 
 # -- urls
