@@ -20,6 +20,8 @@ URL_RULES = [
 ARRIVALS = 11
 #: Runs up to this size are the lowest tier.
 BASE_BYTES = 64 << 20
+#: Records of pages longer than this are segmented.
+SEGMENT_BYTES = 4096
 
 
 def tokenizer_path() -> str:
@@ -62,7 +64,7 @@ def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = warc.round_trip(table(spark, sf_dir, "pages"))
+    pages = warc.round_trip(table(spark, sf_dir, "pages"), segment_bytes=SEGMENT_BYTES)
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

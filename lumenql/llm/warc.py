@@ -9,14 +9,18 @@ are stored once: the record with the largest page id keeps the payload, the othe
 revisits with the digest and length of the full payload.
 
 Files go through Spark's text writer, so they reach whatever store holds the path and
-appear by its commit protocol. Records end in two line ends, which is the writer's line
-separator, so each file is a plain (gzip-compressed) WARC file.
+appear by its commit protocol. Each record is a gzip member of its own. A member of less
+than 16 MB ends in a zero byte, which is the writer's line separator; so a file is a
+sequence of members and nothing else, as in any compressed WARC file.
 """
 
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
+import io
+import json
 import uuid
 
 import pyarrow as pa
@@ -24,25 +28,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import in_groups, materialize, scratch, text_key
 
 #: Bytes of a record's block, of a chunk, and records of a file: a file stays below 64 MB, far less when compressed.
 SEGMENT_BYTES, CHUNK_BYTES, FILE_RECORDS = 1 << 16, 1 << 13, 1024
 REVISIT_BYTES = 1000
-END = "\r\n\r\n"
+#: Names of archive files in a folder; this writer's own end in ``.txt``.
+FILE_NAMES = "*.{txt,warc,gz}"
+END = b"\r\n\r\n"
 _IDS = uuid.uuid5(uuid.NAMESPACE_URL, "urn:lumenql:warc")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def _cuts(data: bytes, size: int):
-    """Pieces of about ``size`` bytes that end at characters, so that every record is text."""
-    at = 0
-    while at < len(data):
-        end = min(at + size, len(data))
-        while end < len(data) and data[end] & 0xC0 == 0x80:
-            end -= 1
-        yield data[at:end]
-        at = end
+    return (data[at : at + size] for at in range(0, len(data), size))
 
 
 def frame(payload: bytes) -> bytes:
@@ -65,13 +64,13 @@ def unframe(body: bytes) -> bytes:
         at += size + 2
 
 
-def _record(fields: list[tuple[str, object]], block: bytes) -> str:
+def _record(fields: list[tuple[str, object]], block: bytes) -> bytes:
     head = "".join(f"{k}: {v}\r\n" for k, v in fields if v is not None)
-    return f"WARC/1.1\r\n{head}Content-Length: {len(block)}\r\n\r\n{block.decode('utf-8')}"
+    return f"WARC/1.1\r\n{head}Content-Length: {len(block)}\r\n\r\n".encode() + block + END
 
 
 def records(page_id, uri, payload: bytes, digest: str, refers_to, name: str, segment_bytes: int = SEGMENT_BYTES):
-    """The records of one page as text, without the two closing line ends."""
+    """The records of one page, each with its two closing line ends."""
     own = lambda k: f"<urn:uuid:{uuid.uuid5(_IDS, f'{name}/{k}')}>"
     uri = None if uri is None else "".join(c if c.isprintable() else "%%%02X" % ord(c) for c in uri)
     common = [("WARC-Target-URI", uri), ("WARC-Date", "2026-01-01T00:00:00Z"), ("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Page-Id", page_id)]
@@ -94,20 +93,45 @@ def records(page_id, uri, payload: bytes, digest: str, refers_to, name: str, seg
         yield _record(fields + common + [kind], part)
 
 
+def _fields(lines: list[str]) -> dict[str, str]:
+    """Header fields by lower-case name. Blanks around values are optional, a line that starts with one goes on with the last value, lines without a colon are passed over."""
+    out: dict[str, str] = {}
+    last = None
+    for line in lines:
+        if line[:1] in (" ", "\t") and last:
+            out[last] = f"{out[last]} {line.strip()}"
+            continue
+        name, colon, value = line.partition(":")
+        if colon:
+            last = name.strip().lower()
+            out[last] = value.strip()
+    return out
+
+
 def parse(data: bytes):
-    """The records of an archive: (header fields, block). Lengths are checked."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        version, *lines = data[at:end].decode("utf-8").split("\r\n")
-        if not version.startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        fields = dict(line.split(": ", 1) for line in lines)
-        begin, size = end + 4, int(fields["Content-Length"])
-        if data[begin + size : begin + size + 4] != b"\r\n\r\n":
-            raise ValueError(f"record at byte {at} does not end where it says")
-        yield fields, data[begin : begin + size]
-        at = begin + size + 4
+    """The records of an archive: (header fields by lower-case name, block). Lengths are checked.
+
+    The archive may be compressed, as one gzip member or many; one record is expanded at a time.
+    """
+    raw = io.BytesIO(data)
+    stream = io.BufferedReader(gzip.GzipFile(fileobj=raw)) if data[:2] == b"\x1f\x8b" else raw
+    while line := stream.readline():
+        version = line.strip()
+        if not version:
+            continue
+        if not version.startswith(b"WARC/"):
+            raise ValueError(f"no record begins with {version[:40]!r}")
+        lines = []
+        while (line := stream.readline()).strip():
+            lines.append(line.decode("utf-8", "replace").rstrip("\r\n"))
+        fields = _fields(lines)
+        if "content-length" not in fields:
+            raise ValueError(f"record {fields.get('warc-record-id')} has no length")
+        size = int(fields["content-length"])
+        block = stream.read(size)
+        if len(block) != size or stream.readline().strip():
+            raise ValueError(f"record {fields.get('warc-record-id')} does not end where it says")
+        yield fields, block
 
 
 def reassemble(segments: list[tuple[int, int | None, bytes]]) -> bytes:
@@ -126,25 +150,40 @@ def reassemble(segments: list[tuple[int, int | None, bytes]]) -> bytes:
     return block
 
 
-def _page(fields: dict[str, str], block: bytes) -> tuple:
-    """A row of the result: page id, uri, type, refers_to, digest, payload bytes, payload (null of a revisit)."""
-    number = lambda k: int(fields[k]) if k in fields else None
-    head, _, body = block.partition(b"\r\n\r\n")
-    http = dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])
-    uri, kind = fields.get("WARC-Target-URI"), fields["WARC-Type"]
-    if kind == "revisit":
-        return (number("X-Page-Id"), uri, kind, number("X-Refers-To-Page-Id"), fields["WARC-Payload-Digest"].partition(":")[2], int(http[b"Content-Length"]), None)
-    payload = unframe(body) if http.get(b"Transfer-Encoding") == b"chunked" else body
-    digest = hashlib.sha1(payload).hexdigest()
-    if fields.get("WARC-Payload-Digest", f"sha1:{digest}") != f"sha1:{digest}":
-        raise ValueError(f"payload of page {fields.get('X-Page-Id')} is damaged")
-    return (number("X-Page-Id"), uri, "response", None, digest, len(payload), payload)
+def _same_digest(told: str, data: bytes) -> bool:
+    """Whether a digest field, in hexadecimal or base 32, is that of the data; other algorithms are not checked."""
+    kind, _, value = told.rpartition(":")
+    if kind.lower() not in ("sha1", ""):
+        return True
+    digest = hashlib.sha1(data).digest()
+    return value.strip().lower() in (digest.hex(), base64.b32encode(digest).decode().lower())
 
 
-_PAGE = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())])
+def _page(fields: dict[str, str], block: bytes, verify: bool) -> tuple:
+    """A row of the result: page id, uri, type, refers_to, digest, payload bytes, payload (null of a revisit)."""
+    number = lambda k: int(fields[k]) if fields.get(k, "").lstrip("-").isdigit() else None
+    uri, kind, told = fields.get("warc-target-uri"), fields["warc-type"], fields.get("warc-payload-digest")
+    head, http, body = b"", {}, block
+    if block.startswith(b"HTTP/"):
+        head, _, body = block.partition(b"\r\n\r\n")
+        http = _fields(head.decode("latin-1").split("\r\n")[1:])
+    if kind == "revisit":
+        size = http.get("content-length", "")
+        return (number("x-page-id"), uri, kind, number("x-refers-to-page-id"), told and told.rpartition(":")[2], int(size) if size.isdigit() else None, None)
+    payload = unframe(body) if http.get("transfer-encoding", "").lower() == "chunked" else body
+    # Some writers state the digest of the body as it was sent.
+    if verify and told and not _same_digest(told, payload) and not _same_digest(told, body):
+        raise ValueError(f"payload of {fields.get('warc-record-id')} is damaged")
+    return (number("x-page-id"), uri, kind, None, hashlib.sha1(payload).hexdigest(), len(payload), payload)
+
+
+#: Record types that hold or stand for a page; others (information, requests, metadata) are no pages.
+PAGES = ("response", "resource", "revisit")
+_PAGE_FIELDS = [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())]
+_PAGE = pa.schema(_PAGE_FIELDS)
 _PAGE_DDL = "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
-_SEGMENT = pa.schema([("origin", pa.string()), ("number", pa.int64()), ("total", pa.int64()), ("head", pa.string()), ("block", pa.binary())])
-_SEGMENT_DDL = "origin string, number long, total long, head string, block binary"
+_RECORD = pa.schema([*_PAGE_FIELDS, ("origin", pa.string()), ("number", pa.int64()), ("total", pa.int64()), ("head", pa.string()), ("block", pa.binary())])
+_RECORD_DDL = f"{_PAGE_DDL}, origin string, number long, total long, head string, block binary"
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -156,7 +195,8 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
 
     Among equal payloads of ``revisit_bytes`` or more the largest page id is the
     response; rows that repeat it are responses too. Rows without an id revisit it if it
-    has one, and are responses otherwise.
+    has one, and are responses otherwise. A table without rows writes no record; other
+    columns are ignored.
     """
     text = F.coalesce(F.col(payload_col), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), text.alias("html"), F.sha1(F.encode(text, "UTF-8")).alias("digest"))
@@ -167,6 +207,9 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
     revisits = F.when(F.col("page_id").isNull() | (F.col("keeper") != F.col("page_id")), F.col("keeper"))
     placed = placed.select("page_id", "url", "html", "digest", revisits.alias("refers_to"))
 
+    if not 0 < segment_bytes < 1 << 23:
+        raise ValueError("segments have to be shorter than 8 MB")
+
     def run(batches):
         part, row = TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -174,58 +217,82 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
             for page_id, url, html, digest, refers_to in zip(*(c for c in batch.columns)):
                 row += 1
                 for r in records(page_id.as_py(), url.as_py(), html.as_py().encode("utf-8"), digest.as_py(), refers_to.as_py(), f"{part}/{row}", segment_bytes):
-                    out.append(r)
-                    size += len(r)
+                    member = gzip.compress(r, 6, mtime=0)
+                    out.append(member[:-1])  # the writer adds the zero byte that ends a member
+                    size += len(member)
                 if size > 1 << 23:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
                     out, size = [], 0
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+
+    members = placed.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
+    members.write.option("lineSep", "\0").option("compression", "none").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+
+
+def _files(spark: SparkSession, path: str, names: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", names).load(path).select("content")
+
+
+def read_records(spark: SparkSession, path: str, names: str = FILE_NAMES) -> DataFrame:
+    """All records of archives as they stand: ``record_id, record_type, url, headers, block``; segments are not joined."""
+    schema = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("url", pa.string()), ("headers", pa.map_(pa.string(), pa.string())), ("block", pa.binary())])
+
+    def scan(batches):
+        for batch in batches:
+            for content in batch.column(0):
+                for fields, block in parse(content.as_py()):
+                    yield _batch([(fields.get("warc-record-id"), fields.get("warc-type"), fields.get("warc-target-uri"), list(fields.items()), block)], schema)
 
-    lines = placed.mapInArrow(run, "value string")
-    lines.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    return _files(spark, path, names).mapInArrow(scan, "record_id string, record_type string, url string, headers map<string,string>, block binary")
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, *, names: str = FILE_NAMES, verify: bool = True) -> DataFrame:
     """The pages of archives: ``page_id, url, record_type, refers_to, payload_digest, payload_bytes, payload``.
 
-    Whole records are decoded where they are read. Segments alone are shuffled, by their
-    origin, and put together there; a group is one page's record. Damaged archives raise.
+    Any archive will do, compressed or not; records of types other than ``PAGES`` are left
+    out, and ``page_id`` and ``refers_to`` are null where an archive does not carry them.
+    One pass decodes whole records and sets segments aside in the shared folder. Segments
+    alone are shuffled, by their origin, and put together there; a group is one page's
+    record. Damaged archives raise, and with ``verify`` so do wrong SHA-1 digests. No file
+    gives no row.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path).select("content")
 
-    def scan(batches, segmented: bool):
+    def scan(batches):
+        none = (None,) * len(_PAGE_FIELDS)
         for batch in batches:
             for content in batch.column(0):
                 out, size = [], 0
-                for fields, block in parse(gzip.decompress(content.as_py())):
-                    if ("WARC-Segment-Number" in fields) != segmented:
-                        continue
-                    if segmented:
-                        total = fields.get("WARC-Segment-Total-Length")
-                        head = "\n".join(f"{k}: {v}" for k, v in fields.items())
-                        out.append((fields.get("WARC-Segment-Origin-ID", fields["WARC-Record-ID"]), int(fields["WARC-Segment-Number"]), total and int(total), head, block))
-                    else:
-                        out.append(_page(fields, block))
+                for fields, block in parse(content.as_py()):
+                    kind = fields.get("warc-type")
+                    if "warc-segment-number" in fields:
+                        total = fields.get("warc-segment-total-length")
+                        origin = fields.get("warc-segment-origin-id", fields.get("warc-record-id"))
+                        out.append((*none, origin, int(fields["warc-segment-number"]), total and int(total), json.dumps(fields), block))
+                    elif kind in PAGES:
+                        out.append((*_page(fields, block, verify), *(None,) * 5))
                     size += len(block)
                     if size > 1 << 24:
-                        yield _batch(out, _SEGMENT if segmented else _PAGE)
+                        yield _batch(out, _RECORD)
                         out, size = [], 0
-                yield _batch(out, _SEGMENT if segmented else _PAGE)
+                yield _batch(out, _RECORD)
 
-    def join(table: pa.Table) -> pa.Table:
+    def join(table: pa.Table):
         rows = table.to_pylist()
+        first = next((r for r in rows if r["number"] == 1), None)
         block = reassemble([(r["number"], r["total"], r["block"]) for r in rows])
-        first = next(r for r in rows if r["number"] == 1)
-        return pa.Table.from_batches([_batch([_page(dict(x.split(": ", 1) for x in first["head"].split("\n")), block)], _PAGE)])
+        fields = json.loads(first["head"])
+        if fields.get("warc-type") in PAGES:
+            yield _batch([_page(fields, block, verify)], _PAGE)
 
-    whole = files.mapInArrow(lambda b: scan(b, False), _PAGE_DDL)
-    parts = files.mapInArrow(lambda b: scan(b, True), _SEGMENT_DDL).groupBy("origin").applyInArrow(join, _PAGE_DDL)
-    return whole.union(parts)
+    found, _ = materialize(_files(spark, path, names).mapInArrow(scan, _RECORD_DDL), "warc-records")
+    whole = found.where("origin is null").select(*_PAGE.names)
+    parts = found.where("origin is not null").select(*(k.alias(n) for k, n in zip(text_key(F.col("origin")), "ab")), "number", "total", "head", "block")
+    return whole.union(in_groups(parts, ["a", "b"], join, _PAGE_DDL))
 
 
 def round_trip(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
-    """Write the pages as archives and read them back."""
+    """Write the pages as archives and read them back; options are those of ``write_warc``."""
     path = path or scratch(pages.sparkSession, "warc")
     write_warc(pages, path, **options)
     return read_warc(pages.sparkSession, path)

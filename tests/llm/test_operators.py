@@ -1,5 +1,7 @@
 """The training-data operators against brute-force versions and on edge cases."""
 
+import base64
+import gzip
 import hashlib
 import random
 import re
@@ -337,9 +339,9 @@ def test_chunks_and_segments():
     data = ("é€ab\r\n0\r\n\r\n" * 5000).encode()
     assert warc.unframe(warc.frame(data)) == data and warc.unframe(warc.frame(b"")) == b""
     parts = list(warc.records(1, "http://x/\r\ny", data, hashlib.sha1(data).hexdigest(), None, "n", 1000))
-    back = list(warc.parse("".join(p + warc.END for p in parts).encode()))
-    assert len(back) > 3 and "WARC-Segment-Total-Length" in back[-1][0] and back[1][0]["WARC-Segment-Origin-ID"] == back[0][0]["WARC-Record-ID"]
-    segments = [(int(f["WARC-Segment-Number"]), int(f["WARC-Segment-Total-Length"]) if "WARC-Segment-Total-Length" in f else None, b) for f, b in back]
+    back = list(warc.parse(b"".join(parts)))
+    assert len(back) > 3 and "warc-segment-total-length" in back[-1][0] and back[1][0]["warc-segment-origin-id"] == back[0][0]["warc-record-id"]
+    segments = [(int(f["warc-segment-number"]), int(f["warc-segment-total-length"]) if "warc-segment-total-length" in f else None, b) for f, b in back]
     random.Random(1).shuffle(segments)
     assert warc.unframe(warc.reassemble([*segments, segments[0]]).split(b"\r\n\r\n", 1)[1]) == data
     with pytest.raises(ValueError, match="gap"):
@@ -349,16 +351,52 @@ def test_chunks_and_segments():
 
 
 def test_warc_round_trip(spark, tmp_path):
-    long = "ab\r\n\r\né" * 40_000
-    rows = [(1, "http://a", "x" * 1500), (2, "http://b", "x" * 1500), (3, None, None), (4, "u", ""), (5, "u", "short"), (6, "u", "short"), (7, "u", long), (None, "u", "x" * 1500), (8, "u", "WARC/1.1\r\n\r\n")]
+    long = "ab\r\n\r\né\0" * 40_000
+    rows = [(1, "http://a", "x" * 1500), (2, "http://b", "x" * 1500), (3, None, None), (4, "u", ""), (5, "u", "short"), (6, "u", "short"), (7, "u", long), (7, "u", long), (None, "u", "x" * 1500), (8, "u", "WARC/1.1\r\n\r\n")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("clash"))
-    got = {r.page_id: r for r in warc.round_trip(pages, str(tmp_path / "w"), segment_bytes=4096).collect()}
-    assert len(got) == len(rows)
+    back = warc.round_trip(pages, str(tmp_path / "w"), segment_bytes=4096).collect()
+    got = {r.page_id: r for r in back}
+    assert len(back) == len(rows)
     assert {k: (r.record_type, r.refers_to) for k, r in got.items() if r.record_type == "revisit"} == {1: ("revisit", 2), None: ("revisit", 2)}
     for key, _, html in rows:
         data = (html or "").encode()
         assert (got[key].payload_bytes, got[key].payload_digest) == (len(data), hashlib.sha1(data).hexdigest())
         assert got[key].record_type == "revisit" or got[key].payload == data
+    assert warc.round_trip(pages.where("false"), str(tmp_path / "none")).count() == 0
+    # Each record is a gzip member, and members fill the files.
+    for file in (tmp_path / "w").glob("*.txt"):
+        raw, members = file.read_bytes(), 0
+        while raw:
+            d = zlib.decompressobj(31)
+            assert d.decompress(raw).startswith(b"WARC/1.1\r\n") and d.eof
+            raw, members = d.unused_data, members + 1
+        assert members
+    assert warc.read_records(spark, str(tmp_path / "w")).where("record_type = 'continuation'").count() > 100
+
+
+def test_foreign_archive(spark, tmp_path):
+    """Loose header lines, other record types, base-32 digests, shuffled segments, one gzip member or none."""
+    page = b"<p>h\xe9llo</p>"
+    body = b"5;x=1\r\n<p>h\xe9\r\n7\r\nllo</p>\r\n0\r\n\r\n"
+    http = b"HTTP/1.1 200 OK\r\nContent-Type:text/html\r\nTransfer-Encoding:chunked\r\nbad line\r\n\r\n" + body
+    digest = base64.b32encode(hashlib.sha1(page).digest()).decode()
+    cut = len(http) // 2
+    make = lambda block, *lines: ("WARC/1.0\r\n" + "".join(f"{x}\r\n" for x in (*lines, f"content-length:{len(block)}")) + "\r\n").encode() + block + b"\r\n\r\n"
+    records = [
+        make(b"software: x\r\n", "WARC-Type: warcinfo", "WARC-Record-ID: <a>"),
+        make(http[cut:], "WARC-Type: continuation", "WARC-Record-ID: <c>", "WARC-Segment-Origin-ID: <b>", "WARC-Segment-Number: 2", f"WARC-Segment-Total-Length: {len(http)}"),
+        make(b"GET / HTTP/1.1\r\n\r\n", "WARC-Type:request", "WARC-Record-ID: <d>"),
+        make(http[:cut], "WARC-Type: response", "WARC-Record-ID: <b>", "WARC-Target-URI: http://x/", f"WARC-Payload-Digest: sha1:{digest}", "WARC-Segment-Number: 1"),
+        make(b"HTTP/1.1 304 Not Modified\r\n\r\n", "WARC-Type: revisit", "WARC-Record-ID: <e>", "WARC-Target-URI: http://y/", "WARC-Payload-Digest:", "  sha1:" + digest),
+        make(b"plain", "WARC-Type: resource", "WARC-Record-ID: <f>", "WARC-Target-URI: http://z/"),
+    ]
+    for name, data in (("one.warc.gz", gzip.compress(b"".join(records))), ("many.warc.gz", b"".join(map(gzip.compress, records))), ("raw.warc", b"".join(records))):
+        (tmp_path / name).write_bytes(data)
+        got = {r.url: r for r in warc.read_warc(spark, str(tmp_path / name)).collect()}
+        assert set(got) == {"http://x/", "http://y/", "http://z/"}
+        assert bytes(got["http://x/"].payload) == page and got["http://x/"].page_id is None
+        assert got["http://y/"].record_type == "revisit" and got["http://y/"].payload_digest == digest and got["http://z/"].payload_bytes == 5
+    assert warc.read_records(spark, str(tmp_path)).count() == 18
 
 
 # -- encodings
