@@ -63,8 +63,11 @@ a AS (SELECT k / n AS mean, {weight} AS down FROM (SELECT {sums} FROM s) WHERE n
 s2 AS (SELECT suffix, (k + a.down * a.mean) / (n + a.down) AS mean, {weight} AS down FROM s, a),
 d2 AS (SELECT domain, (k + s2.down * s2.mean) / (n + s2.down) AS mean, {weight} AS down FROM d JOIN s2 USING (suffix)),
 h2 AS (SELECT host, (k + d2.down * d2.mean) / (n + d2.down) AS mean, n + d2.down AS weight FROM h JOIN names USING (host) JOIN d2 USING (domain)),
-b AS (SELECT host, coalesce(h2.mean, d2.mean, s2.mean, a.mean) AS m, coalesce(weight, d2.down, s2.down, a.down) AS w FROM names LEFT JOIN h2 USING (host) LEFT JOIN d2 USING (domain) LEFT JOIN s2 USING (suffix) LEFT JOIN a ON true)
-SELECT page_id, host, path, {pick(0)} AS rule, coalesce({pick(1)}, CASE WHEN least(m + {p.deviations!r} * sqrt(m * (1 - m) / (w + 1)), 1.0) < {p.least} THEN 'block' ELSE 'allow' END) AS verdict FROM p LEFT JOIN b USING (host)
+b AS (SELECT host, m * w AS a, (1 - m) * w AS b FROM (SELECT host, coalesce(h2.mean, d2.mean, s2.mean, a.mean) AS m, coalesce(weight, d2.down, s2.down, a.down) AS w FROM names LEFT JOIN h2 USING (host) LEFT JOIN d2 USING (domain) LEFT JOIN s2 USING (suffix) LEFT JOIN a ON true) WHERE m IS NOT NULL),
+-- The posterior's distribution function by the midpoint rule, over the rate or, where its density has a pole, over a power of it.
+c AS (SELECT host, CASE WHEN any_value(a) <= 0 THEN 1 WHEN any_value(b) <= 0 THEN 0 ELSE sum(CASE WHEN a >= 1 THEN exp((a - 1) * ln({p.least} * u) + (b - 1) * ln(1 - {p.least} * u) + ln({p.least}) - lbeta) ELSE exp((b - 1) * ln(1 - {p.least} * pow(u, 1 / a)) + a * ln({p.least}) - ln(a) - lbeta) END) / 20000 END AS bad
+ FROM (SELECT *, CASE WHEN a > 0 AND b > 0 THEN lgamma(a) + lgamma(b) - lgamma(a + b) END AS lbeta FROM b), (SELECT (range + 0.5) / 20000 AS u FROM range(20000)) GROUP BY host)
+SELECT page_id, host, path, {pick(0)} AS rule, coalesce({pick(1)}, CASE WHEN host <> '' AND bad >= {p.certainty} THEN 'block' ELSE 'allow' END) AS verdict FROM p LEFT JOIN c USING (host)
 """
 
 
@@ -85,10 +88,12 @@ SELECT doc_id, arrival, octet_length(encode(text))::BIGINT AS n_bytes, sha256(te
 
 def _quality() -> str:
     risk = quality.Risk()
-    a, allowed = risk.rejected / len(risk.grids), risk.error / len(risk.grids)
-    ks = ", ".join(f"count(*) FILTER ({r} > {c}) AS {r}_{c}" for r, cs in risk.grids.items() for c in cs)
+    levels = risk.levels()
+    ks = ", ".join(f"count(*) FILTER ({' OR '.join(f'{r} > {c}' for r, c in cuts.items())}) AS k{i}" for i, cuts in enumerate(levels))
+    a = risk.rejected
     tail = lambda k: f"(SELECT sum(exp(lgamma(n + 1) - CASE WHEN j > 0 THEN lgamma(j + 1) ELSE 0 END - CASE WHEN n > j THEN lgamma(n - j + 1) ELSE 0 END + j * {log(a)!r} + (n - j) * {log(1 - a)!r})) FROM unnest(range(0, {k} + 1)) AS u(j))"
-    cuts = ", ".join(f"least({', '.join(f'CASE WHEN {tail(f'{r}_{c}')} <= {allowed!r} / strata THEN {c} END' for c in cs)}) AS cut_{r}" for r, cs in risk.grids.items())
+    level = f"greatest({', '.join(f'CASE WHEN {tail(f'k{i}')} <= {risk.error!r} / strata THEN {i} END' for i in range(len(levels)))})"
+    cuts = ", ".join(f"[{', '.join(map(str, grid))}][level + 1] AS cut_{r}" for r, grid in risk.grids.items())
     above = " OR ".join(f"coalesce({r} > cut_{r}, false)" for r in risk.grids)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents),
@@ -101,7 +106,7 @@ m AS (SELECT doc_id, stratum, len(w) AS n_words, length(array_to_string(w, ''))
 f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, 1000 * n_symbols // greatest(word_chars, 1) AS m_symbols, 1000 * n_dup_lines // greatest(n_lines, 1) AS m_lines, 1000 * n_repeat_words // greatest(n_words, 1) AS m_repeat, 1000 * n_marks // greatest(word_chars, 1) AS m_marks FROM m),
 good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1),
 c AS (SELECT stratum, count(*) AS n, {ks} FROM f JOIN good USING (doc_id) WHERE NOT base_failed GROUP BY stratum),
-cut AS (SELECT stratum, {cuts} FROM c, (SELECT greatest(count(*), 1) AS strata FROM c))
+cut AS (SELECT stratum, {cuts} FROM (SELECT stratum, {level} AS level FROM c, (SELECT greatest(count(*), 1) AS strata FROM c)))
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND NOT ({above}) AS kept FROM f LEFT JOIN cut USING (stratum)
 """
 

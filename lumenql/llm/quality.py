@@ -1,16 +1,18 @@
 """Quality rules with risk-controlled thresholds, with DataFrame expressions only.
 
-Metrics of every text feed fixed base rules and four graded rules. A graded rule's cutoff
-is chosen for each stratum from labelled rows: the strictest cutoff of a grid whose
-false-rejection rate among good rows is, by the exact binomial (Clopper-Pearson) bound,
-below the allowed rate. Cutoffs of a grid are tested from the most lenient on and stop at
-the first failure (fixed-sequence testing), and the error probability is divided by the
-number of rules and strata (Bonferroni). A stratum with too few labels gets no cutoff.
+Metrics of every text feed fixed base rules and four graded rules. The graded rules have
+cutoffs at several levels, and the level is chosen for each stratum from labelled rows:
+the strictest whose false-rejection rate among good rows, over all rules together, is by
+the exact binomial (Clopper-Pearson) bound below the allowed rate. Levels are tested from
+the most lenient on and stop at the first failure (fixed-sequence testing), and the error
+probability is divided by the number of strata (Bonferroni). A stratum with too few
+labels gets no cutoff.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 from math import log
 
 from pyspark.sql import Column, DataFrame
@@ -81,18 +83,21 @@ def metrics(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 @dataclass(frozen=True)
 class Risk:
-    """Allowed share of good rows that all graded rules together may reject, and the chance of exceeding it."""
+    """Allowed share of good rows of a stratum that all graded rules together may reject, and the chance that any stratum exceeds it."""
 
-    rejected: float = 0.02
+    rejected: float = 0.03
     error: float = 0.05
-    #: Cutoffs in thousandths, most lenient first; a row is rejected above its cutoff.
+    #: Cutoffs in thousandths, a column for each level, most lenient first; a row is rejected above its cutoff.
     grids: dict[str, tuple[int, ...]] = field(default_factory=lambda: {
         "m_symbols": (400, 300, 200, 150, 100, 70),
-        "m_lines": (800, 600, 400, 300, 200),
-        "m_repeat": (190, 150, 100, 70),
-        "m_marks": (400, 300, 200, 150, 100),
+        "m_lines": (800, 600, 400, 300, 200, 150),
+        "m_repeat": (190, 170, 150, 120, 100, 70),
+        "m_marks": (400, 300, 200, 150, 100, 70),
     })
 
+    def levels(self) -> list[dict[str, int]]:
+        return [dict(zip(self.grids, cuts)) for cuts in zip(*self.grids.values(), strict=True)]
+
 
 def binomial_tail(k: Column, n: Column, rate: float) -> Column:
     """P(X <= k) for X ~ Binomial(n, rate), summed in logarithms so that large n do not underflow."""
@@ -109,7 +114,7 @@ def binomial_tail(k: Column, n: Column, rate: float) -> Column:
 
 
 def thresholds(measured: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", stratum: str = "lang", good: str = "quality", risk: Risk = Risk()) -> DataFrame:
-    """The strictest certified cutoff of each stratum and rule: columns ``stratum`` and one for each rule.
+    """The cutoffs of each stratum's strictest certified level: columns ``stratum`` and one for each rule.
 
     ``measured`` holds the metrics, and rows that fail the base rules do not count. A
     document labelled more than once counts once, as good only if all its labels are.
@@ -119,17 +124,16 @@ def thresholds(measured: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     label = labels.groupBy(F.col(id_col).alias("__id")).agg(F.min(good).alias("__good")).where("__good = 1")
     rows = measured.where("not base_failed").join(label, F.col(id_col) == F.col("__id"))
     key = F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum")
-    over = [F.count_if(F.col(rule) > cut).alias(f"{rule}_{cut}") for rule, cuts in risk.grids.items() for cut in cuts]
-    counted = rows.groupBy(key).agg(F.count("*").alias("n"), *over)
+    above = lambda cuts: reduce(lambda x, y: x | y, (F.col(rule) > cut for rule, cut in cuts.items()))
+    levels = risk.levels()
+    counted = rows.groupBy(key).agg(F.count("*").alias("n"), *(F.count_if(above(cuts)).alias(f"k{i}") for i, cuts in enumerate(levels)))
     strata = counted.agg(F.greatest(F.count("*"), F.lit(1)).alias("strata"))
-    each = risk.rejected / len(risk.grids)
-    allowed = F.lit(risk.error / len(risk.grids)) / F.col("strata")
-    picked = []
-    for rule, cuts in risk.grids.items():
-        passing = [F.when(binomial_tail(F.col(f"{rule}_{cut}"), F.col("n"), each) <= allowed, F.lit(cut)) for cut in cuts]
-        # Stricter cutoffs reject a superset, so their bounds only grow: all cutoffs that pass precede the first that fails.
-        picked.append(F.least(*passing).cast("long").alias(f"cut_{rule[2:]}"))
-    return counted.join(F.broadcast(strata)).select("stratum", *picked)
+    # Stricter levels reject a superset, so their bounds only grow: all levels that pass precede the first that fails.
+    passing = [F.when(binomial_tail(F.col(f"k{i}"), F.col("n"), risk.rejected) <= F.lit(risk.error) / F.col("strata"), F.lit(i)) for i in range(len(levels))]
+    # Bound to a column of its own by a generator, so that the sums are not expanded for each rule.
+    told = counted.join(F.broadcast(strata)).select("stratum", F.explode(F.array(F.greatest(*passing))).alias("level"))
+    cut = lambda rule: F.element_at(F.array(*map(F.lit, risk.grids[rule])), F.col("level") + 1)
+    return told.select("stratum", *(F.when(F.col("level").isNotNull(), cut(rule)).cast("long").alias(f"cut_{rule[2:]}") for rule in risk.grids))
 
 
 def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang", risk: Risk = Risk()) -> DataFrame:
@@ -160,6 +164,8 @@ def quality_report(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
 def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", stratum: str = "lang", risk: Risk = Risk()) -> DataFrame:
     """The documents that all rules keep, columns unchanged and texts never shuffled.
 
+    Null and empty texts have no word and go; repeated rows are judged each, very long texts
+    whole; an empty table stays empty.
     Cutoffs come from a narrow table of metrics; the texts are then judged as they are read.
     """
     narrow = docs.select(F.col(id_col), F.col(stratum), F.col(text_col))

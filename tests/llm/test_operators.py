@@ -325,13 +325,35 @@ def test_url_parts(spark):
 def test_reputation_blocks_bad_hosts_only_with_evidence(spark):
     outcomes = [(f"bad.spam.com", 0)] * 60 + [("good.fine.com", 1)] * 60 + [("new.fine.com", 0)] + [("other.org", 1)] * 40
     pages = [(1, "http://bad.spam.com/x"), (2, "http://good.fine.com/"), (3, "http://new.fine.com/"), (4, None), (5, "http://unseen.net/"), (6, "http://sub.spam.com/")]
-    judged = url_reputation.judge_urls(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(outcomes, "host string, good int"), queries.URL_RULES)
+    judged = url_reputation.judge_urls(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(outcomes, "host string, good int"), queries.URL_RULES, prior=url_reputation.Prior(least=0.5))
     assert {r.page_id: r.verdict for r in judged.collect()} == {1: "block", 2: "allow", 3: "allow", 4: "allow", 5: "allow", 6: "block"}  # 6 follows its domain
     empty = spark.createDataFrame([], "host string, good int")
     judged = url_reputation.judge_urls(spark.createDataFrame(pages, "page_id long, url string").withColumn("host", F.lit(1)), empty, queries.URL_RULES)
     assert judged.count() == 6 and {r.verdict for r in judged.collect()} == {"allow"}
 
 
+@pytest.mark.parametrize(("a", "b"), [(2.0, 3.0), (0.3, 0.4), (150.0, 60.0), (20.0, 900.0), (4000.0, 1400.0), (1.0, 1.0)])
+def test_beta_distribution(spark, a, b):
+    """The continued fraction against a sum over a fine grid of the rate's angle."""
+    from math import lgamma
+
+    phi = (np.arange(400_000) + 0.5) / 400_000 * np.pi / 2
+    dense = np.exp((2 * a - 1) * np.log(np.sin(phi)) + (2 * b - 1) * np.log(np.cos(phi)) - (lgamma(a) + lgamma(b) - lgamma(a + b)))
+    for least in (0.02, 0.5, 0.75):
+        want = (dense * (np.sin(phi) ** 2 < least)).sum() * 2 * (np.pi / 2 / len(phi))
+        got = spark.range(1).select(url_reputation.below(least, F.lit(a), F.lit(b))).first()[0]
+        assert got == pytest.approx(want, abs=2e-3 if min(a, b) < 1 else 1e-4)
+
+
+def test_url_edges(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/x"), (1, "http://a.com/x"), (2, ""), (None, None), (3, "http://a.com/" + "y" * 200_000)], "page_id long, url string").withColumn("bad", F.lit("clash")).withColumn("rule", F.lit(1))
+    outcomes = spark.createDataFrame([("a.com", 0)] * 50 + [("b.org", 1)] * 50 + [(None, 1), ("a.com", None), ("", 0)], "host string, good int")
+    rules = [url_reputation.rule("allow", "a.com/x"), url_reputation.rule("block", "a.com/x")]
+    judged = url_reputation.judge_urls(pages, outcomes, rules).collect()
+    assert sorted((r.page_id or 0, r.rule, r.verdict) for r in judged) == [(0, None, "allow"), (1, "a.com/x", "block"), (1, "a.com/x", "block"), (2, None, "allow"), (3, None, "block")]
+    assert url_reputation.judge_urls(pages.where("false"), outcomes, rules).count() == 0
+
+
 # -- archives
 
 
@@ -655,11 +677,11 @@ def test_binomial_bound(spark):
 
 def test_cutoffs_need_evidence_and_limit_rejections(spark):
     zero = {c: 0 for c in ("m_lines", "m_repeat", "m_marks")}
-    rows = [dict(doc_id=k, lang="en", base_failed=False, m_symbols=250 if k % 100 == 0 else 10, **zero) for k in range(4000)] + [dict(doc_id=9000 + k, lang="fr", base_failed=False, m_symbols=10, **zero) for k in range(50)]
+    rows = [dict(doc_id=k, lang="en", base_failed=False, m_symbols=250 if k % 20 == 0 else 10, **zero) for k in range(4000)] + [dict(doc_id=9000 + k, lang="fr", base_failed=False, m_symbols=10, **zero) for k in range(50)]
     measured = spark.createDataFrame(rows)
     labels = measured.select("doc_id", F.lit(1).alias("quality"))
     got = {r.stratum: r for r in quality.thresholds(measured, labels).collect()}
-    assert got["en"].cut_symbols == 300 and got["fr"].cut_symbols is None  # a hundredth of the good rows is above 200
+    assert (got["en"].cut_symbols, got["en"].cut_marks) == (300, 300) and got["fr"].cut_symbols is None  # a twentieth of the good rows is above 200
 
 
 def test_quality_edges(edge, none, spark):
