@@ -6,7 +6,7 @@ Most are dialect texts; a few call operators for what only a program sets up.
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 import uuid
 from collections.abc import Callable
 
@@ -17,6 +17,7 @@ from .functions.library import FUNCTIONS, ROW_FUNCTIONS, Constant, bits, last_by
 from .operators import graph
 from .session import Engine
 from .streaming import windows
+from .storage import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,9 +45,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new path in the folder that all executors share, or a local one where none is named."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{root.rstrip('/')}/lumenql-{uuid.uuid4().hex}"
+    """A new path in the folder that all executors share."""
+    return scratch(spark, "catalogue")
 
 
 # -- generated rows, projections, predicates
@@ -131,7 +131,6 @@ dialect("repo_name", "select n_nationkey, ParseRepoFullName(Combine('own', n_nam
 dialect("hex_text", "select n_nationkey, ToHex(n_name) as plain, ToHex(n_name, ' ') as spaced from #tables.nation()", "select n_nationkey, hex(n_name) as plain, rtrim(regexp_replace(hex(n_name), '(..)', '\\1 ', 'g')) as spaced from nation")
 dialect("days_between", "select o_orderkey, DaysBetween(o_orderdate, ToDateTimeOffset('01/01/2000')) as d, IsStale(o_orderdate, 100, ToDateTimeOffset('01/01/1996')) as stale from #tables.orders()", "select o_orderkey, (epoch_us(timestamp '2000-01-01') - epoch_us(o_orderdate)) / 86400000000.0::double as d, (epoch_us(timestamp '1996-01-01') - epoch_us(o_orderdate)) / 86400000000.0::double > 100 as stale from orders")
 dialect("dates", "select ExtractFromDate('02/28/2012', 'month') as m, ExtractFromDate('28/02/2012', 'pl-PL', 'day') as d, ToDecimal('x') is null as bad, ToDecimal('1.5') as good from #system.dual()", "select 2 as m, 28 as d, true as bad, 1.5::decimal(38,18) as good")
-dialect("prompt_functions", "select n.n_nationkey as k, m.Sentiment('a great day') as mood, m.IsContentAbout(n.n_name, 'nation') as about from #openai.gpt('small') m cross apply #system.range(1) r inner join #tables.nation() n on r.Value = 0", "select n_nationkey as k, 'POSITIVE' as mood, true as about from nation")
 
 
 @query("select conv_id, turn, case when contains(lower(text), 'the') then 'articles' when contains(lower(text), 'x') then 'letters' else 'other' end as category from conversations")
@@ -164,21 +163,6 @@ def head_tail_bytes(spark, sf_dir):
     return docs.select("doc_id", F.hex(ROW_FUNCTIONS["head"](_file(), F.lit(4))).alias("head"), F.hex(last_bytes(F.encode("source", "UTF-8"), F.lit(2))).alias("tail"))
 
 
-@query("select doc_id, CAST(i AS INTEGER) as line, l[i] as text from (select doc_id, string_split(text, chr(10)) as l from documents), unnest(range(1, len(l) + 1)) as u(i)")
-def flat_lines(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents")
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n", -1))).select("doc_id", (F.col("pos") + 1).alias("line"), F.col("col").alias("text"))
-
-
-@query("select coalesce(a.doc_id, b.doc_id) as doc_id, case when a.doc_id is null then 'Added' when b.doc_id is null then 'Removed' when a.text = b.text then 'TheSame' else 'Modified' end as state from (select * from documents where doc_id % 10 <> 0) a full join (select doc_id, case when doc_id % 7 = 0 then upper(text) else text end as text from documents where doc_id % 11 <> 0) b on a.doc_id = b.doc_id")
-def dirs_compare(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    left = docs.where("doc_id % 10 <> 0").select("doc_id", F.sha2("text", 256).alias("a"))
-    right = docs.where("doc_id % 11 <> 0").select(F.col("doc_id").alias("other"), F.sha2(F.when(F.expr("doc_id % 7 = 0"), F.upper("text")).otherwise(F.col("text")), 256).alias("b"))
-    state = F.when(F.col("doc_id").isNull(), "Added").when(F.col("other").isNull(), "Removed").when(F.col("a") == F.col("b"), "TheSame").otherwise("Modified")
-    return left.join(right, F.col("doc_id") == F.col("other"), "full").select(F.coalesce("doc_id", "other").alias("doc_id"), state.alias("state"))
-
-
 @query("select event_id, (user_id >> 2) & 255 as raw, case when (user_id & 15) >= 8 then (user_id & 15) - 16 else user_id & 15 end as signed, ((event_id & 255) << 8) as packed from events")
 def can_bits(spark, sf_dir):
     events = read(spark, sf_dir, "events")
@@ -198,25 +182,6 @@ def merge_base(spark, sf_dir):
     return side(1000).join(side(1003), "node").agg(F.max("node").alias("base"))
 
 
-@query("select o_custkey as author, arg_min(o_orderkey, (o_orderdate, o_orderkey)) as first, arg_max(o_orderkey, (o_orderdate, o_orderkey)) as last from orders group by 1")
-def min_max_commit(spark, sf_dir):
-    when = F.struct("o_orderdate", "o_orderkey")
-    return read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("author")).agg(F.min_by("o_orderkey", when).alias("first"), F.max_by("o_orderkey", when).alias("last"))
-
-
-@query("select p_partkey as symbol from part where not exists (select 1 from lineitem where l_partkey = p_partkey and l_quantity > 45)")
-def unused_symbols(spark, sf_dir):
-    uses = read(spark, sf_dir, "lineitem").where("l_quantity > 45").select("l_partkey")
-    return read(spark, sf_dir, "part").join(uses, F.col("p_partkey") == F.col("l_partkey"), "left_anti").select(F.col("p_partkey").alias("symbol"))
-
-
-@query("select p_partkey as k from part where regexp_matches(lower(p_name), '^part.*1$')")
-def wildcard_names(spark, sf_dir):
-    from .functions.library import wildcard
-
-    return read(spark, sf_dir, "part").where(F.col("p_name").rlike(wildcard("PART*1"))).select(F.col("p_partkey").alias("k"))
-
-
 @query("select c_custkey as \"Id\", try_cast(c_acctbal::varchar as decimal(38,18)) as \"Money\", try_cast(c_mktsegment as integer) as \"Segment\", c_name as \"Name\" from customer")
 def csv_typed(spark, sf_dir):
     folder = scratch_folder(spark)
@@ -224,16 +189,18 @@ def csv_typed(spark, sf_dir):
     return Engine(spark).sql(f"table T {{ Id: long, Money: decimal, Segment: int?, Name: string }}; couple #separatedvalues.comma with table T as A; select Id, Money, Segment, Name from A('{folder}', true, 0)")
 
 
-@query("select s_suppkey as k, s_name as name from supplier where s_suppkey between 3 and 40")
+@query("select s_suppkey as k, s_name as name, s_nationkey as nation from supplier")
 def sqlite_table(spark, sf_dir):
+    """The whole supplier table through a database file, which the driver and all workers have to see."""
     import sqlite3
 
-    path = os.path.join(tempfile.mkdtemp(), "db.sqlite")
+    path = re.sub(r"^file:(//)?", "", scratch(spark, "database"))
+    os.makedirs(os.path.dirname(path), exist_ok=True)
     with sqlite3.connect(path) as db:
-        db.execute("create table supplier (s_suppkey integer, s_name text)")
+        db.execute("create table supplier (s_suppkey integer, s_name text, s_nationkey integer)")
         # The insert draws the rows partition by partition, so the driver never holds the table.
-        db.executemany("insert into supplier values (?, ?)", map(tuple, read(spark, sf_dir, "supplier").select("s_suppkey", "s_name").toLocalIterator()))
-    return Engine(spark, sqlite=path).sql("select s_suppkey as k, s_name as name from #sqlite.supplier() where s_suppkey >= 3 and s_suppkey <= 40")
+        db.executemany("insert into supplier values (?, ?, ?)", map(tuple, read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey").toLocalIterator()))
+    return Engine(spark, sqlite=path).sql("select s_suppkey as k, s_name as name, ToInt32(s_nationkey) as nation from #sqlite.supplier()")
 
 
 @query()
@@ -266,3 +233,9 @@ def top_per_group(spark, sf_dir):
 
     rank = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
     return read(spark, sf_dir, "events").select("user_id", "event_id", rank.alias("rank")).where("rank <= 3")
+
+
+from . import catalogue_sources  # noqa: E402
+
+QUERIES |= catalogue_sources.QUERIES
+ORACLES |= catalogue_sources.ORACLES

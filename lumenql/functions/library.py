@@ -109,6 +109,18 @@ def cast_dec(x):
     return x.cast("decimal(18,4)")
 
 
+@function("base", "Cast_Seconds")
+def cast_seconds(x):
+    """Whole seconds of a duration."""
+    return (F.extract(F.lit("DAY"), x) * 86400 + F.extract(F.lit("HOUR"), x) * 3600 + F.extract(F.lit("MINUTE"), x) * 60 + F.floor(F.extract(F.lit("SECOND"), x))).cast("bigint")
+
+
+@function("base", "ToDecimal20")
+def to_decimal20(x):
+    """An unsigned 64-bit number."""
+    return x.try_cast("decimal(20,0)")
+
+
 @function("base", "Abs")
 def _abs(x):
     return F.abs(x)
@@ -150,10 +162,6 @@ def _upper(x):
     return F.upper(x)
 
 
-def _is_array(x: Column, then: Column, otherwise: Column) -> Column:
-    return F.when(F.typeof(x).startswith("array"), then).otherwise(otherwise)
-
-
 @function("base", "Skip", raw=True)
 def _skip(x, n):
     return F.substring(column(x), int(constant(n)) + 1, 2**31 - 1)
@@ -169,6 +177,13 @@ def _skip_and_take(x, skip, take):
     return F.substring(column(x), int(constant(skip)) + 1, int(constant(take)))
 
 
+def part_of_array(name: str, items: Column, *numbers) -> Column:
+    """``Skip``, ``Take`` and ``SkipAndTake`` of an array; numbers beyond its end give what is there."""
+    n = [int(constant(x)) for x in numbers]
+    skip, take = {"skip": (n[0], None), "take": (0, n[0]), "skipandtake": (n[0], n[-1])}[name]
+    return F.slice(items, max(skip, 0) + 1, F.size(items) + 1 if take is None else F.lit(max(take, 0)))
+
+
 @function("base", "EnumerableToArray")
 def _to_array(x):
     return x

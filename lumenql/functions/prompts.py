@@ -1,42 +1,36 @@
 """Model-backed functions over an injected client.
 
-A client is any callable that takes (settings, prompt) and returns the answer. Results
-are null where a client fails, and the failure is counted, so an error text never passes
-for an answer. Without a client, ``offline`` answers by simple fixed rules, which keeps
-queries and tests running without a service. Calls are batched as Arrow columns.
+A client is any callable that takes (settings, prompt) and returns the answer; without one
+these functions raise when a query is built. Results are null where a client fails, so an
+error text never passes for an answer, and the failures are counted in an accumulator,
+``failures(spark)``. Calls are batched as Arrow columns.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 Client = Callable[[dict, str], str]
+_failed: dict[str, object] = {}
 
 
-def offline(settings: dict, prompt: str) -> str:
-    """Answers by rule: the mood of a few words, yes for a repeated word, else an empty answer."""
-    task, _, text = prompt.partition("\n")
-    low = text.lower()
-    if task.startswith("sentiment"):
-        good, bad = (sum(w in low for w in ws) for ws in (("good", "great", "love"), ("bad", "awful", "hate")))
-        return "positive" if good > bad else "negative" if bad > good else "neutral"
-    if task.startswith("about"):
-        return "yes" if task[6:].strip().lower() in low else "no"
-    if task.startswith("entities"):
-        return json.dumps({"entities": sorted({w.strip(".,") for w in text.split() if w[:1].isupper()})})
-    if task.startswith("applies"):
-        return json.dumps({"result": "true"})
-    return text[:80]
+def failures(spark: SparkSession):
+    """The accumulator of failed calls of this application."""
+    key = spark.sparkContext.applicationId
+    if key not in _failed:
+        _failed[key] = spark.sparkContext.accumulator(0)
+    return _failed[key]
 
 
 def ask(client: Client | None, settings: dict, task: Column | str, content: Column) -> Column:
     """The answer for each row; null content gives an empty answer without a call."""
-    client = client or offline
+    if client is None:
+        raise ValueError("model functions need a client: the option llm_client")
+    failed = failures(SparkSession.active())
 
     @F.pandas_udf("string")
     def run(tasks: pd.Series, texts: pd.Series) -> pd.Series:
@@ -46,6 +40,7 @@ def ask(client: Client | None, settings: dict, task: Column | str, content: Colu
             try:
                 return client(settings, f"{task}\n{text}")
             except Exception:  # noqa: BLE001
+                failed.add(1)
                 return None
 
         return pd.Series([one(t, x) for t, x in zip(tasks, texts)], dtype=object)
@@ -74,26 +69,42 @@ def build(client: Client | None, settings: dict) -> dict[str, Callable[..., Colu
         "askimage": lambda question, image: a(F.concat(F.lit("image "), question), image),
         "isquestionapplicabletoimage": lambda question, image: F.coalesce(F.get_json_object(a(F.concat(F.lit("applies "), question), image), "$.result") == "true", F.lit(False)),
         "llmperform": lambda task, value: a(task, value),
-        "counttokens": lambda *args: count_tokens(args[-1]),
+        "counttokens": lambda *args: count_tokens(args[-1], args[0] if len(args) > 1 else None),
     }
 
 
-def count_tokens(text: Column, ranks: str | None = None) -> Column:
-    """Byte-pair tokens of a text, by a rank file in the tiktoken format; null counts none.
+#: Tokens of an encoder, built once in a process.
+_encoders: dict[str, object] = {}
 
-    The file is that of the ``public_tokenizers`` package unless another is named.
-    """
 
-    @F.pandas_udf("int")
-    def run(texts: pd.Series) -> pd.Series:
+def _encoder(name: str):
+    """The encoding of a name: one of tiktoken's, or a rank file of the ``public_tokenizers`` package."""
+    if name not in _encoders:
         import base64
+        import os
 
         import public_tokenizers
         import tiktoken
 
-        with open(ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
-            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        encoding = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-        return texts.map(lambda t: len(encoding.encode_ordinary(t)) if t else 0)
+        path = name if os.path.isfile(name) else public_tokenizers.path(name if name.endswith(".tiktoken") else f"{name}.tiktoken")
+        if os.path.isfile(path):
+            with open(path, "rb") as f:
+                table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            _encoders[name] = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+        else:
+            _encoders[name] = tiktoken.get_encoding(name)
+    return _encoders[name]
+
+
+#: The encoding where none is named.
+ENCODING = "byte_bpe_50k"
+
+
+def count_tokens(text: Column, encoding: Column | None = None) -> Column:
+    """Byte-pair tokens of a text in a named encoding; null counts none. An unknown encoding raises."""
+
+    @F.pandas_udf("int")
+    def run(texts: pd.Series, names: pd.Series) -> pd.Series:
+        return pd.Series([len(_encoder(n).encode_ordinary(t)) if t else 0 for t, n in zip(texts, names)], dtype="int32")
 
-    return run(text)
+    return run(text, F.lit(ENCODING) if encoding is None else encoding)

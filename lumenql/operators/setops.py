@@ -47,9 +47,3 @@ def _against(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> Da
     named = other.select(*[F.col(_quoted(k)).alias(f"__k{i}") for i, k in enumerate(keys)])
     condition = [F.col(_quoted(k)).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
     return left.join(named, condition, how)
-
-
-def first_by(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """The first row of each key in an explicit order."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")

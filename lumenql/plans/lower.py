@@ -17,6 +17,7 @@ from ..functions import library
 from ..functions.library import Constant
 from ..operators import setops
 from ..operators.grouping import AGGREGATES, aggregate
+from ..operators.numbering import numbered
 from . import ast as A
 
 
@@ -24,6 +25,10 @@ class QueryError(ValueError):
     pass
 
 
+#: The column that holds a row's number while a query that asks for it is built.
+ROW_NUMBER = ".row_number"
+
+
 @dataclass
 class Scope:
     """A table under construction: the columns of each alias, and what each alias is."""
@@ -144,8 +149,12 @@ class Lowering:
         else:
             scope = self.source(q.source)
         q = self.anti(q, scope)
+        if any(self.has_row_number(n) for n in (*(i.expr for i in q.items), *([q.where] if q.where is not None else []))) and not q.joins:
+            scope.df = numbered(scope.df, ROW_NUMBER)
         for join in q.joins:
             scope = self.join(scope, join)
+        if q.joins and any(self.has_row_number(n) for n in (*(i.expr for i in q.items), *([q.where] if q.where is not None else []))):
+            scope.df = numbered(scope.df, ROW_NUMBER)
         if q.where is not None:
             scope.df = scope.df.where(self.expr(q.where, scope))
         items = self.expand(q.items, scope)
@@ -154,11 +163,9 @@ class Lowering:
             self.aggregates(node, calls)
         if q.group or calls:
             return self.grouped(q, items, calls, scope)
-        numbered = any(self.has_row_number(i.expr) for i in items)
         out = [self.expr(i.expr, scope).alias(i.name) for i in items]
-        if q.distinct or numbered:
-            df = scope.df.select(*out)
-            df = df.distinct() if q.distinct else df
+        if q.distinct:
+            df = scope.df.select(*out).distinct()
             result = Scope(df.select(*[F.col(_tick(c)).alias(f".{c}") for c in df.columns]), {"": df.columns})
             return self.ordered(df, q, lambda k: self.by_result(k, items, result, df))
         if not q.order:
@@ -233,7 +240,7 @@ class Lowering:
                 schema, name, declared = c.schema, c.method, self.tables[c.table.lower()]
             function = self.engine.registry.find(schema, name, len(s.args))
             if function.lateral is None:
-                raise QueryError(f"#{schema}.{name} cannot be applied to rows")
+                return self.apply_source(scope, join, schema, name, declared)
             args = [self.raw(a, scope) for a in s.args]
             args = args if declared else [library.column(a) for a in args]
             value = function.lateral(*args, *([list(declared)] if declared else []))
@@ -251,6 +258,43 @@ class Lowering:
         df = df.select(*held, *[c.alias(f"{s.alias}.{n}") for n, c in columns.items()])
         return Scope(df, {**scope.aliases, s.alias: list(columns)}, {**scope.functions, s.alias: functions})
 
+    def apply_source(self, scope: Scope, join: A.Join, schema: str, name: str, declared) -> Scope:
+        """Apply a table function whose arguments come from rows.
+
+        Arguments name places to read (folders, files, repositories): metadata, like a list
+        of paths. Each distinct set of them becomes one scan, ``max_paths`` at most, and
+        the scans meet the rows again by their arguments.
+        """
+        s = join.source
+        function = self.engine.registry.find(schema, name, len(s.args))
+        args = [self.expr(a, scope) for a in s.args]
+        most = int(self.engine.options.get("max_paths", 100_000))
+        keys = [f".arg{i}" for i in range(len(args))]
+        told = scope.df.select(*[a.alias(k) for k, a in zip(keys, args)]).distinct().limit(most + 1).collect()
+        if len(told) > most:
+            raise QueryError(f"#{schema}.{name} is applied to more than {most} places; the option max_paths raises the limit")
+        scans = None
+        for row in told:
+            if any(v is None for v in row):
+                continue
+            values = list(row) if function.name != "*" else [name, *row]
+            df = function.make(self.engine, *values, **({"declared": list(declared)} if declared else {}))
+            columns = list(df.columns)
+            df = df.select(*[F.lit(v).alias(k) for k, v in zip(keys, row)], *[F.col(_tick(c)).alias(f"{s.alias}.{c}") for c in columns])
+            scans = df if scans is None else scans.unionByName(df, allowMissingColumns=True)
+        if scans is None:
+            raise QueryError(f"#{schema}.{name} is applied to no place, so its columns are unknown")
+        held = scope.df.columns
+        meet = None
+        left = scope.df.select("*", *[a.alias(f"{k}.of") for k, a in zip(keys, args)])
+        for k in keys:
+            same = F.col(_tick(f"{k}.of")) == F.col(_tick(k))
+            meet = same if meet is None else meet & same
+        out = left.join(scans, meet, "left" if join.kind == "outer apply" else "inner") if meet is not None else left.crossJoin(scans)
+        columns = [c[len(s.alias) + 1 :] for c in scans.columns if c not in keys]
+        out = out.select(*[F.col(_tick(c)) for c in [*held, *[f"{s.alias}.{c}" for c in columns]]])
+        return Scope(out, {**scope.aliases, s.alias: columns}, {**scope.functions, s.alias: self.engine.row_library(schema, [])})
+
     def anti(self, q: A.Select, scope: Scope) -> A.Select:
         """A left join whose only use is that its key is null becomes an anti join."""
         if len(q.joins) != 1 or q.joins[0].kind != "left" or q.where is None:
@@ -376,7 +420,7 @@ class Lowering:
             raise QueryError(f"{parts[0]} is ambiguous: {', '.join(f'{a}.{c}' for a, c in found)}")
         if found:
             return _nested(F.col(_tick(f"{found[0][0]}.{found[0][1]}")), parts[1:])
-        if alias is not None:
+        if alias is not None and len(parts) == 1:
             return self.row(alias, scope)
         raise QueryError(f"unknown column {'.'.join(parts)}; there are: {', '.join(f'{a}.{c}' for a, cs in scope.aliases.items() for c in cs)}")
 
@@ -392,14 +436,17 @@ class Lowering:
         if node.target is not None and alias is None:
             target = self.expr(node.target, scope, swap)
         if name == "rownumber":
-            from pyspark.sql import Window
-
-            return F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+            return F.col(_tick(ROW_NUMBER))
         bound = scope.functions.get(alias, {}) if alias is not None else {k: f for fs in scope.functions.values() for k, f in fs.items()}
         if name in bound:
             return bound[name](*map(library.column, args))
         if target is not None and name in library.ROW_FUNCTIONS:
             return library.ROW_FUNCTIONS[name](target, *args)
+        if name in ("skip", "take", "skipandtake") and args:
+            first = target if target is not None else library.column(args[0])
+            kind = scope.df.select(first.alias("v")).schema["v"].dataType
+            if isinstance(kind, T.ArrayType):
+                return library.part_of_array(name, first, *(args if target is not None else args[1:]))
         rows = [alias] if alias is not None else list(scope.aliases)[:1] if len(scope.aliases) == 1 else []
         if name in library.FUNCTIONS and (name not in library.ROW_FUNCTIONS or not rows or self.fits(name, len(args))):
             return library.FUNCTIONS[name](*([target] if target is not None else []), *args)

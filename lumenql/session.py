@@ -14,8 +14,11 @@ class Engine:
     """Runs dialect scripts over registered table functions.
 
     ``options`` steers sources: ``tables`` (folder of Parquet tables), ``snapshots``
-    (folder of saved service answers), ``jdbc`` (connection options), ``culture``,
-    ``max_paths``, ``llm_client``.
+    (folder of saved service answers), ``clients`` (a callable for each service schema),
+    ``missing_services`` ("empty": a service without either has no rows, else it raises),
+    ``jdbc`` and ``sqlite`` (connection options, database file), ``llm_client`` (a callable
+    for model functions), ``culture``, ``max_paths`` (lists of places to read),
+    ``quoted_line_breaks`` (whether delimited files have them: True, False or "find").
     """
 
     def __init__(self, spark: SparkSession, **options: object):

@@ -18,7 +18,6 @@ TYPES = {
     "datetimeoffset": "timestamp", "guid": "string",
 }
 _BOUNDS = {"byte": (0, 255), "ushort": (0, 65535), "uint16": (0, 65535), "uint": (0, 2**32 - 1), "uint32": (0, 2**32 - 1), "ulong": (0, 2**64 - 1), "uint64": (0, 2**64 - 1)}
-LINE_LIMIT = 1 << 20
 
 
 def spark_type(word: str) -> str:
@@ -133,8 +132,12 @@ def _one(engine, path, has_header, skip, declared, separator) -> DataFrame:
     names = [column_name(c) for c in cells] if has_header else [f"Column{i + 1}" for i in range(len(cells))]
     if declared and not has_header:
         names = [n for n, _ in declared]
+    spanning = engine.options.get("quoted_line_breaks", "find")
+    spanning = _spans_lines(engine, path) if spanning == "find" else bool(spanning)
+    if spanning and skip:
+        return _typed(_records(engine, path, skip + int(has_header), names, separator), names, declared)
     if not skip:
-        return _read(engine, [path], has_header, names, separator, declared)
+        return _read(engine, [path], has_header, names, separator, declared, spanning)
     # Leading lines are dropped by number; the rest is parsed from text.
     lines = numbered_lines(engine, [path]).where(F.col("LineNumber") > skip + int(has_header)).select(F.col("Line").alias("value"))
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -142,9 +145,48 @@ def _one(engine, path, has_header, skip, declared, separator) -> DataFrame:
     return _typed(parsed, names, declared)
 
 
-def _read(engine, paths, has_header, names, separator, declared) -> DataFrame:
+def _spans_lines(engine, path: str) -> bool:
+    """Whether a quoted cell holds a line break: then some line has an odd number of quotes.
+
+    Such a file cannot be split. The engine's option ``quoted_line_breaks`` (True or False)
+    states it and spares this scan.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    return not engine.spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
+def _records(engine, path: str, skip: int, names: list[str], separator: str) -> DataFrame:
+    """Records of a file behind ``skip`` leading lines, where cells may hold line breaks; one task for each file."""
+    width = len(names)
+
+    def run(batches):
+        import csv
+        import io
+
+        import pandas as pd
+
+        for batch in batches:
+            for data in batch["content"]:
+                text = io.StringIO(data.decode("utf-8-sig", "replace"), newline="")
+                for _ in range(skip):
+                    text.readline()
+                held = []
+                for cells in csv.reader(text, delimiter=separator):
+                    if cells:
+                        held.append((cells + [None] * width)[:width])
+                    if len(held) >= 10_000:
+                        yield pd.DataFrame(held, columns=names, dtype=object)
+                        held = []
+                if held:
+                    yield pd.DataFrame(held, columns=names, dtype=object)
+
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return engine.spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, schema)
+
+
+def _read(engine, paths, has_header, names, separator, declared, spanning: bool = False) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    reader = engine.spark.read.schema(schema).option("sep", separator).option("header", has_header).option("enforceSchema", True).option("mode", "PERMISSIVE").option("multiLine", False).option("escape", '"')
+    reader = engine.spark.read.schema(schema).option("sep", separator).option("header", has_header).option("enforceSchema", True).option("mode", "PERMISSIVE").option("multiLine", spanning).option("escape", '"')
     return _typed(reader.csv(paths), names, declared)
 
 
@@ -161,7 +203,7 @@ def delimited_bytes(separator: str):
     def lateral(data: Column, has_header, skip_lines, declared) -> Column:
         text = F.regexp_replace(F.decode(data, "UTF-8"), r"\r?\n\z", "")
         begin = int(skip_lines.value) + int(bool(has_header.value)) + 1
-        lines = F.filter(F.slice(F.split(text, r"\r?\n", -1), begin, LINE_LIMIT * LINE_LIMIT // 1024), lambda x: x != "")
+        lines = F.filter(F.slice(F.split(text, r"\r?\n", -1), begin, 1_000_000_000), lambda x: x != "")
         ddl = ", ".join(f"`{n}` string" for n, _ in declared)
         row = lambda x: F.from_csv(x, ddl, {"sep": separator})
         return F.transform(F.transform(lines, row), lambda r: F.struct(*[typed(r[n], t).alias(n) for n, t in declared]))

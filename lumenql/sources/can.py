@@ -141,7 +141,8 @@ def row_library(engine, args: list) -> dict:
     paths = [a for a in args if isinstance(a, str) and a.lower().endswith(".dbc")]
     if not paths:
         return {}
-    known = {s.name.lower(): s for m in dictionary(engine, paths[0]) for s in m.signals}
+    parsed = dictionary(engine, paths[0])
+    known = {s.name.lower(): s for m in parsed for s in m.signals}
 
     def by_name(use):
         def run(name, value):
@@ -152,7 +153,18 @@ def row_library(engine, args: list) -> dict:
 
         return run
 
-    return {"encodemessage": by_name(encode), "decodemessage": by_name(lambda v, s: decode(v.cast("bigint"), s))}
+    def encode_message(first, second=None):
+        """``(signal, value)``, or one text of JSON: signals of a message and their values, all placed in one payload."""
+        if second is not None:
+            return by_name(encode)(first, second)
+        out = F.lit(0).cast("bigint")
+        for m in parsed:
+            for s in m.signals:
+                value = F.get_json_object(first, f"$.{s.name}").cast("double")
+                out = out.bitwiseOR(F.coalesce(encode(value, s), F.lit(0).cast("bigint")))
+        return F.when(first.isNotNull(), out)
+
+    return {"encodemessage": encode_message, "decodemessage": by_name(lambda v, s: decode(v.cast("bigint"), s))}
 
 
 def register(registry: Registry) -> None:

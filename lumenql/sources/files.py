@@ -21,8 +21,8 @@ from .registry import Registry, TableFunction
 
 ENTRY = "CompressionType string, ArchivedTime timestamp, CompressedSize bigint, Crc bigint, CreatedTime timestamp, Key string, LinkTarget string, IsDirectory boolean, IsEncrypted boolean, IsSplitAfter boolean, IsSolid boolean, VolumeIndexFirst int, VolumeIndexLast int, LastAccessedTime timestamp, LastModifiedTime timestamp, Size bigint, Attrib int, Content binary"
 ZIP = "Name string, FullName string, CompressedLength bigint, LastWriteTime timestamp, Length bigint, IsDirectory boolean, Level int, Content binary"
-FILE = "Name string, FileName string, CreationTime timestamp, CreationTimeUtc timestamp, LastAccessTime timestamp, LastAccessTimeUtc timestamp, LastWriteTime timestamp, LastWriteTimeUtc timestamp, DirectoryName string, DirectoryPath string, Extension string, FullPath string, Exists boolean, IsReadOnly boolean, Length bigint, Root string, Content binary"
-DIRECTORY = "FullName string, Attributes bigint, CreationTime timestamp, CreationTimeUtc timestamp, LastAccessTime timestamp, LastAccessTimeUtc timestamp, LastWriteTime timestamp, LastWriteTimeUtc timestamp, Exists boolean, Extension string, Name string, Parent struct<FullName:string,Name:string>, Root string"
+FILE = "Name string, FileName string, CreationTime timestamp, CreationTimeUtc timestamp, LastAccessTime timestamp, LastAccessTimeUtc timestamp, LastWriteTime timestamp, LastWriteTimeUtc timestamp, DirectoryName string, DirectoryPath string, Extension string, FullPath string, Exists boolean, IsReadOnly boolean, Length bigint, Root string, Attributes bigint, Content binary, Metadata array<struct<DirectoryName:string,TagName:string,Description:string>>"
+DIRECTORY = "FullName string, DirectoryPath string, Attributes bigint, CreationTime timestamp, CreationTimeUtc timestamp, LastAccessTime timestamp, LastAccessTimeUtc timestamp, LastWriteTime timestamp, LastWriteTimeUtc timestamp, Exists boolean, Extension string, Name string, Parent struct<FullName:string,Name:string>, Root string"
 TAG = "FullName string, DirectoryName string, TagName string, Description string"
 
 
@@ -45,7 +45,7 @@ def files(engine, directory: str, recursive: bool) -> DataFrame:
     return _binary(engine, directory, bool(recursive)).select(
         name.alias("Name"), name.alias("FileName"), *[time.alias(t) for t in ("CreationTime", "CreationTimeUtc", "LastAccessTime", "LastAccessTimeUtc", "LastWriteTime", "LastWriteTimeUtc")],
         F.substring_index(folder, "/", -1).alias("DirectoryName"), folder.alias("DirectoryPath"), F.regexp_extract(path, r"(\.[^./]*)$", 1).alias("Extension"), path.alias("FullPath"),
-        F.lit(True).alias("Exists"), F.lit(False).alias("IsReadOnly"), F.col("length").alias("Length"), F.lit(os.path.abspath(directory) if "://" not in directory else directory).alias("Root"), F.col("content").alias("Content"),
+        F.lit(True).alias("Exists"), F.lit(False).alias("IsReadOnly"), F.col("length").alias("Length"), F.lit(os.path.abspath(directory) if "://" not in directory else directory).alias("Root"), F.lit(128).cast("bigint").alias("Attributes"), F.col("content").alias("Content"), tags_of(F.col("path"), F.col("content")).alias("Metadata"),
     )
 
 
@@ -66,7 +66,7 @@ def directories(engine, directory: str, recursive: bool) -> DataFrame:
                 full = s.getPath().toUri().getPath()
                 parent = os.path.dirname(full)
                 when = pd.Timestamp(s.getModificationTime(), unit="ms").to_pydatetime()
-                rows.append((full, 16, *[when] * 6, True, os.path.splitext(full)[1], os.path.basename(full), (parent, os.path.basename(parent)), "/"))
+                rows.append((full, full, 16, *[when] * 6, True, os.path.splitext(full)[1], os.path.basename(full), (parent, os.path.basename(parent)), "/"))
                 if recursive:
                     waiting.append(s.getPath())
     return engine.spark.createDataFrame(rows, DIRECTORY)
@@ -151,6 +151,38 @@ def compare(engine, source: str, destination: str) -> DataFrame:
     return both.select("SourceFile", "DestinationFile", state.alias("State"), root(source).alias("SourceRoot"), root(destination).alias("DestinationRoot"), "SourceFileRelative", "DestinationFileRelative")
 
 
+#: Names of image tags by number, of the main and of the exposure directory.
+EXIF_TAGS = {
+    0x010E: "Image Description", 0x010F: "Make", 0x0110: "Model", 0x0112: "Orientation", 0x011A: "X Resolution", 0x011B: "Y Resolution", 0x0128: "Resolution Unit", 0x0131: "Software", 0x0132: "Date/Time", 0x013B: "Artist", 0x8298: "Copyright",
+    0x829A: "Exposure Time", 0x829D: "F-Number", 0x8827: "ISO Speed Ratings", 0x9003: "Date/Time Original", 0x9004: "Date/Time Digitized", 0x9209: "Flash", 0x920A: "Focal Length", 0xA002: "Exif Image Width", 0xA003: "Exif Image Height",
+}
+
+
+def exif(data: bytes):
+    """Directory, tag and value of an image's exposure data: texts, whole numbers and fractions."""
+    order = "little" if data[:2] == b"II" else "big"
+    number = lambda at, n: int.from_bytes(data[at : at + n], order)
+    size = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8}
+    waiting = [("Exif IFD0", number(4, 4))]
+    while waiting:
+        name, at = waiting.pop(0)
+        for k in range(number(at, 2)):
+            entry = at + 2 + 12 * k
+            tag, kind, count = number(entry, 2), number(entry + 2, 2), number(entry + 4, 4)
+            width = size.get(kind, 0) * count
+            place = entry + 8 if width <= 4 else number(entry + 8, 4)
+            if tag == 0x8769:
+                waiting.append(("Exif SubIFD", number(entry + 8, 4)))
+            elif tag in EXIF_TAGS and width and place + width <= len(data):
+                if kind == 2:
+                    value = data[place : place + count].split(b"\0")[0].decode("utf-8", "replace")
+                elif kind == 5:
+                    value = f"{number(place, 4)}/{number(place + 4, 4)}"
+                else:
+                    value = number(place, size[kind])
+                yield name, EXIF_TAGS[tag], value
+
+
 def read_tags(path: str, data: bytes):
     """Media tags of a file: image header fields of PNG, GIF, BMP and JPEG; other kinds have none."""
     row = lambda d, t, v: (path, d, t, str(v))
@@ -165,12 +197,30 @@ def read_tags(path: str, data: bytes):
         at = 2
         while at + 9 < len(data) and data[at] == 0xFF:
             marker, size = data[at + 1], int.from_bytes(data[at + 2 : at + 4], "big")
+            if marker == 0xE1 and data[at + 4 : at + 10] == b"Exif\0\0":
+                yield from (row(d, t, v) for d, t, v in exif(data[at + 10 : at + 2 + size]))
             if 0xC0 <= marker <= 0xCF and marker not in (0xC4, 0xC8, 0xCC):
                 yield from (row("JPEG", "Image Height", int.from_bytes(data[at + 5 : at + 7], "big")), row("JPEG", "Image Width", int.from_bytes(data[at + 7 : at + 9], "big")))
                 return
             at += 2 + size
 
 
+def tags_of(path: Column, content: Column) -> Column:
+    """The tags of a file's content; a file that cannot be read has none. Runs only where a query names them."""
+
+    @F.pandas_udf("array<struct<DirectoryName:string,TagName:string,Description:string>>")
+    def run(paths: pd.Series, data: pd.Series) -> pd.Series:
+        def one(p, d):
+            try:
+                return [{"DirectoryName": t[1], "TagName": t[2], "Description": t[3]} for t in read_tags(p, d)]
+            except Exception:  # noqa: BLE001  a damaged file has no tags
+                return []
+
+        return pd.Series([one(p, d) for p, d in zip(paths, data)], dtype=object)
+
+    return run(path, content)
+
+
 def metadata(engine, path: str, recursive: bool = False, strict: bool = False) -> DataFrame:
     """A row for each tag of each media file. Files that cannot be read are skipped unless ``strict``."""
 

@@ -15,7 +15,7 @@ COLUMNS = {
     "github.releases": "Id bigint, TagName string, Name string, Body string, Url string, TargetCommitish string, Draft boolean, Prerelease boolean, AuthorLogin string, AuthorId bigint, CreatedAt timestamp, PublishedAt timestamp, AssetsCount int, TarballUrl string, ZipballUrl string",
     "github.repositories": "Id bigint, Name string, FullName string, Description string, Url string, CloneUrl string, SshUrl string, DefaultBranch string, IsPrivate boolean, IsFork boolean, IsArchived boolean, Language string, ForksCount int, StargazersCount int, WatchersCount int, OpenIssuesCount int, Size bigint, CreatedAt timestamp, UpdatedAt timestamp, PushedAt timestamp, OwnerLogin string, License string, Topics array<string>, HasIssues boolean, HasWiki boolean, HasDownloads boolean, Visibility string",
     "jira.comments": "Id string, IssueKey string, Body string, Author string, AuthorDisplayName string, UpdateAuthor string, UpdateAuthorDisplayName string, CreatedAt timestamp, UpdatedAt timestamp, VisibilityGroup string, VisibilityRole string",
-    "jira.issues": "Key string, Id string, Summary string, Description string, Type string, Status string, Priority string, Resolution string, Assignee string, AssigneeDisplayName string, Reporter string, ReporterDisplayName string, ProjectKey string, CreatedAt timestamp, UpdatedAt timestamp, ResolvedAt timestamp, DueDate timestamp, Labels string, Components string, FixVersions string, AffectsVersions string, OriginalEstimateSeconds bigint, RemainingEstimateSeconds bigint, TimeSpentSeconds bigint, OriginalEstimate string, RemainingEstimate string, TimeSpent string, ParentKey string, Environment string, Votes bigint, SecurityLevel string, Url string",
+    "jira.issues": "Key string, Id string, Summary string, Description string, Type string, Status string, Priority string, Resolution string, Assignee string, AssigneeDisplayName string, Reporter string, ReporterDisplayName string, ProjectKey string, CreatedAt timestamp, UpdatedAt timestamp, ResolvedAt timestamp, DueDate timestamp, Labels string, Components string, FixVersions string, AffectsVersions string, OriginalEstimateSeconds bigint, RemainingEstimateSeconds bigint, TimeSpentSeconds bigint, OriginalEstimate string, RemainingEstimate string, TimeSpent string, ParentKey string, Environment string, Votes bigint, SecurityLevel string, Url string, CustomFields map<string,string>",
     "jira.projects": "Id string, Key string, Name string, Description string, Lead string, Url string, Category string, CategoryDescription string, AvatarUrl string",
     "kubernetes.configmaps": "Namespace string, Name string, Age timestamp",
     "kubernetes.cronjobs": "Namespace string, Name string, Schedule string, Statuses string, LastScheduleTime timestamp",
@@ -29,7 +29,7 @@ COLUMNS = {
     "kubernetes.persistentvolumes": "Name string, Namespace string, AccessModes string, ReclaimPolicy string, Status string, Claim string, StorageClass string, Reason string, Age timestamp",
     "kubernetes.podcontainers": "Namespace string, Name string, ContainerName string, Image string, ImagePullPolicy string, Age timestamp, SecurityContext string, Stdin boolean, StdinOnce boolean, TerminationMessagePath string, TerminationMessagePolicy string, Tty boolean, WorkingDir string",
     "kubernetes.podlogs": "Namespace string, Name string, ContainerName string, Line string",
-    "kubernetes.pods": "Namespace string, Name string, ContainersNames string, PF string, Ready boolean, Restarts string, Statuses string, IP string",
+    "kubernetes.pods": "Namespace string, Name string, ContainersNames string, PF string, Ready boolean, Restarts string, Statuses string, IP string, Metadata struct<Name:string,Namespace:string,Labels:map<string,string>,Annotations:map<string,string>>",
     "kubernetes.replicasets": "Namespace string, Name string, Desired int, Current int, Ready int, Age timestamp",
     "kubernetes.services": "Metadata struct<Name:string,Namespace:string,Labels:map<string,string>,Annotations:map<string,string>>, Spec string, Kind string, Status string",
     "kubernetes.statefulsets": "Namespace string, Name string, Replicas int, Age timestamp",

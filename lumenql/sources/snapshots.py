@@ -1,10 +1,12 @@
 """Service tables: code hosting, issue trackers, containers, clusters, base tables, symbol tables, models.
 
 A service is read through an injected client: the option ``clients`` maps a schema to a
-callable that takes (method, arguments, filters) and yields pages of JSON objects. Filters
-that the service understands are pushed to it, and Spark applies all of them again.
-Without a client, the option ``snapshots`` names a folder of saved answers in JSON lines,
-``<schema>/<method>.json``, which Spark reads in parallel with the declared columns.
+callable that takes (method, arguments, filters, page) and yields JSON objects. Filters
+that the service understands are pushed to it (to an issue tracker as query text), and
+Spark applies all of them again. Without a client, the option ``snapshots`` names a folder
+of saved answers in JSON lines, ``<schema>/<method>.json``, which Spark reads in parallel
+with the declared columns. A service with neither raises, unless the option
+``missing_services`` is ``"empty"``.
 """
 
 from __future__ import annotations
@@ -33,9 +35,14 @@ SOLUTION = f"Id string, Projects array<struct<Id:string,Name:string,Classes:{_CL
 SERVED = {"github": ("State", "AuthorLogin", "Language", "Sha", "UpdatedAt"), "jira": ("Status", "Assignee", "Reporter", "Type", "Priority", "ProjectKey", "CreatedAt", "UpdatedAt")}
 
 
-def jql(filters: list[tuple[str, str, object]]) -> str:
-    """The query text of pushed filters for an issue tracker; values are quoted."""
-    return " AND ".join(f"{name} {op} {json.dumps(str(value))}" for name, op, value in filters)
+#: An issue tracker's own names of columns.
+_FIELDS = {"ProjectKey": "project", "CreatedAt": "created", "UpdatedAt": "updated"}
+
+
+def jql(base: str, filters: list[tuple[str, str, object]]) -> str:
+    """The query text of an issue table: a project key or query text, and the pushed filters; values are quoted."""
+    first = [base if " " in base or "=" in base else f"project = {json.dumps(base)}"] if base else []
+    return " AND ".join(first + [f"{_FIELDS.get(name, name.lower())} {op} {json.dumps(str(value))}" for name, op, value in filters])
 
 
 class PageReader(DataSourceReader):
@@ -56,8 +63,10 @@ class PageReader(DataSourceReader):
         return [InputPartition(k) for k in range(count)]
 
     def read(self, part):
-        names = self.schema.names
-        for item in self.client(self.method, self.args, self.filters, part.value):
+        names, args = self.schema.names, self.args
+        if self.served == SERVED["jira"] and self.method == "issues":
+            args = [jql(str(args[0]) if args else "", self.filters), *args[1:]]
+        for item in self.client(self.method, args, self.filters, part.value):
             yield tuple(item.get(n) for n in names)
 
 
@@ -87,10 +96,10 @@ def service(schema: str, method: str, ddl: str | None):
         root = engine.options.get("snapshots")
         path = f"{root}/{schema}/{method}.json"
         if root is None or not exists(engine, path):
-            if ddl is None:
-                raise ValueError(f"#{schema}.{method} needs a client or a snapshot")
+            if ddl is None or engine.options.get("missing_services") != "empty":
+                raise ValueError(f"#{schema}.{method} needs a client (option clients) or a saved answer (option snapshots)")
             return empty(engine, ddl)
-        reader = engine.spark.read.option("mode", "PERMISSIVE")
+        reader = engine.spark.read.option("mode", "FAILFAST")
         df = (reader.schema(ddl) if ddl else reader).json(path)
         return _narrow(df, schema, method, list(args))
 
@@ -100,15 +109,22 @@ def service(schema: str, method: str, ddl: str | None):
 def _narrow(df: DataFrame, schema: str, method: str, args: list) -> DataFrame:
     """The rows of a snapshot that a call's arguments ask for, where the table says whose they are."""
     keys = {"github": ("RepositoryOwner", "RepositoryName"), "kubernetes": ("Namespace",)}.get(schema, ())
+    # Query text is for a service; a saved answer is one to the same text.
     if (schema, method) == ("jira", "issues") and args and " " not in str(args[0]):
         keys = ("ProjectKey",)
     if (schema, method) == ("jira", "comments"):
         keys = ("IssueKey",)
     if (schema, method) == ("kubernetes", "podlogs"):
         keys = ("Name", "ContainerName", "Namespace")
+    if (schema, method) == ("github", "repositories"):
+        keys = ("OwnerLogin",)
+    if (schema, method) == ("github", "commits"):
+        keys = (*keys, "Sha")
     for key, value in zip(keys, args):
         if key in df.columns:
             df = df.where(F.col(key) == value)
+        elif key == "Namespace" and "Metadata" in df.columns:
+            df = df.where(F.col("Metadata.Namespace") == value)
     return df
 
 

@@ -8,6 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from lumenql.functions import prompts
 from lumenql.functions.library import FUNCTIONS, ROW_FUNCTIONS, bits, place, wildcard
 from lumenql.plans import ast as A
 from lumenql.plans.lower import QueryError
@@ -185,7 +186,7 @@ def test_library_values(spark):
 def test_file_functions(spark):
     row = F.struct(F.lit(b"ab\n\ncab\n").alias("Content"), F.lit(1536).alias("Length"), F.lit(".ZIP").alias("Extension"))
     r = ROW_FUNCTIONS
-    got = spark.range(1).select(r["countoflines"](row), r["countofnotemptylines"](row), r["getlinescontainingword"](row, F.lit("ab")), r["tail"](row, F.lit(99)), r["getfilebytes"](row, F.lit(2), F.lit(4)), r["iszip" "archive"](row)).first()
+    got = spark.range(1).select(r["countoflines"](row), r["countofnotemptylines"](row), r["getlinescontainingword"](row, F.lit("ab")), r["tail"](row, F.lit(99)), r["getfilebytes"](row, F.lit(2), F.lit(4)), r["isziparchive"](row)).first()
     assert tuple(got) == (3, 2, "(1,3)", bytearray(b"ab\n\ncab\n"), bytearray(b"ca"), True)
 
 
@@ -240,16 +241,67 @@ def test_snapshots_and_clients(spark, tmp_path):
     (tmp_path / "github" / "branches.json").write_text('{"Name": "main", "RepositoryOwner": "o", "RepositoryName": "r"}\n{"Name": "x", "RepositoryOwner": "p", "RepositoryName": "r"}\n')
     engine = Engine(spark, snapshots=str(tmp_path))
     assert rows(engine.sql("select Name from #github.branches('o', 'r')")) == [("main",)]
-    assert rows(engine.sql("select Name from #kubernetes.pods()")) == []
+    with pytest.raises(ValueError, match="client"):
+        engine.sql("select Name from #kubernetes.pods()")
+    assert rows(Engine(spark, missing_services="empty").sql("select Name from #kubernetes.pods()")) == []
+    (tmp_path / "github" / "issues.json").write_text('{"Number": 1}\nnot json\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        engine.sql("select Number from #github.issues('o', 'r')").collect()
 
     def client(method, args, filters, page):
-        yield {"Key": f"{args[0]}-1", "Status": "Done"}
-        yield {"Key": f"{args[0]}-2", "Status": "Open"}
+        assert args == ['project = "AB" AND status = "Open"']
+        yield {"Key": "AB-1", "Status": "Done"}
+        yield {"Key": "AB-2", "Status": "Open"}
 
     served = Engine(spark, clients={"jira": client})
     assert rows(served.sql("select Key from #jira.issues('AB') where Status = 'Open'")) == [("AB-2",)]
 
 
+def test_unknown_columns_raise(engine):
+    for text in ("select c.typo from #tables.region() c", "select Count(c.typo) as n from #tables.region() c", "select typo from #tables.region() c", "select c.r_name from #tables.region() c where c.nothing = 1"):
+        with pytest.raises(QueryError, match="r_regionkey"):
+            engine.sql(text)
+    assert engine.sql("select c.Self.r_name as n from #tables.region() c").count() == 5
+
+
+def test_model_functions_need_a_client(spark):
+    with pytest.raises(ValueError, match="llm_client"):
+        Engine(spark).sql("select m.Sentiment('a') as s from #openai.gpt() m")
+
+    def broken(settings, prompt):
+        raise RuntimeError("no service")
+
+    before = prompts.failures(spark).value
+    assert rows(Engine(spark, llm_client=broken).sql("select m.SummarizeContent('a') as s from #openai.gpt() m")) == [(None,)]
+    assert prompts.failures(spark).value > before
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('k,text\n1,"two\nlines, ""quoted"""\n2,plain\n3,\n')
+    want = [("1", 'two\nlines, "quoted"'), ("2", "plain"), ("3", None)]
+    for option in ({}, {"quoted_line_breaks": True}):
+        assert rows(Engine(spark, **option).sql(f"select k, text from #separatedvalues.comma('{tmp_path}/a.csv', true, 0)")) == want
+    assert len(rows(Engine(spark).sql(f"select Column1 from #separatedvalues.comma('{tmp_path}/a.csv', false, 1)"))) == 3
+
+
+def test_applied_sources(spark, tmp_path):
+    for d in ("a", "b"):
+        (tmp_path / d).mkdir()
+        (tmp_path / d / f"{d}.txt").write_text(d * 3)
+    (tmp_path / "c").mkdir()
+    engine = Engine(spark)
+    source = f"#os.directories('{tmp_path}', false) d"
+    assert sorted(rows(engine.sql(f"select d.Name, f.Name, f.Length from {source} cross apply #os.files(d.FullName, false) f"))) == [("a", "a.txt", 3), ("b", "b.txt", 3)]
+    assert sorted(rows(engine.sql(f"select d.Name, f.Name from {source} outer apply #os.files(d.FullName, false) f")), key=str)[-1] == ("c", None)
+    with pytest.raises(QueryError, match="max_paths"):
+        Engine(spark, max_paths=2).sql(f"select f.Name from {source} cross apply #os.files(d.FullName, false) f")
+
+
+def test_row_numbers(spark):
+    got = rows(Engine(spark).sql("select Value, RowNumber() as n from #system.range(10, 30) where RowNumber() % 5 = 0"))
+    assert got == [(14, 5), (19, 10), (24, 15), (29, 20)]
+
+
 def test_symbol_tables(spark, tmp_path):
     (tmp_path / "csharp").mkdir()
     method = lambda n, c, used: {"Name": n, "IsAsync": n.startswith("Run"), "CyclomaticComplexity": c, "HasDocumentation": False, "Parameters": [{"Name": "p", "IsUsed": used}]}
