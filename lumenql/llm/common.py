@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from contextlib import contextmanager
 
 import numpy as np
@@ -12,47 +9,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
+from ..storage import discard, shared_dir  # noqa: F401  used by the operators
+
 #: ASCII white space, as regular-expression class content (space, tab to carriage return).
 SPACE = r"\x20\x09-\x0D"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor and the driver see.
-
-    The cluster names it in ``spark.checkpoint.dir``. Only where neither that nor
-    ``SparkContext.setCheckpointDir`` is set and the master is local (tests, notebooks on
-    one machine) a local folder is made and set; on a cluster this raises.
-    """
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not named:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        named = current.get() if current.isDefined() else None
-    if not named:
-        master = spark.sparkContext.master
-        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
-            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder under the master {master}")
-        named = tempfile.mkdtemp(prefix="lumenql-shared-")
-        spark.sparkContext.setCheckpointDir(named)
-    return str(named).rstrip("/")
-
-
-def _hadoop(spark: SparkSession, path: str):
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 #: Paths that ``scratch`` gave out inside the innermost ``scratch_scope``.
 _scopes: list[list[str]] = []
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, deleted when the driver ends or, earlier, by ``scratch_scope``."""
-    own = f"{shared_dir(spark)}/lumenql/{spark.sparkContext.applicationId}"
-    path = f"{own}/{name}-{uuid.uuid4().hex}"
-    folder, fs = _hadoop(spark, own)
-    fs.mkdirs(folder)  # only a path that exists is noted for deletion
-    fs.deleteOnExit(folder)
+    path = storage.scratch(spark, name)
     if _scopes:
         _scopes[-1].append(path)
     return path
@@ -85,12 +56,6 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a table that ``materialize`` wrote."""
-    jvm_path, fs = _hadoop(spark, path)
-    fs.delete(jvm_path, True)
-
-
 def text_key(text: Column) -> list[Column]:
     """Two independent 64-bit hashes of a text; null counts as empty. Together they name it."""
     whole = F.coalesce(text, F.lit(""))

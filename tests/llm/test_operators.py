@@ -720,5 +720,25 @@ def test_pipeline(spark, sf_dir, docs, tokenizer):
     assert encoded == {i: tokenizer.encode(r.text, add_special_tokens=False).ids for i, r in after.items()}
 
 
+def test_pipeline_edges(spark, sf_dir, tokenizer, tmp_path):
+    """Null and shared ids, repeated rows, null, empty and very long texts, extra columns, an empty table."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    words = [f"word{k}" for k in range(400)]
+    one, two, three = " ".join(words[:60]), " ".join(words[100:160]), " ".join(words[200:260])
+    long = " ".join(f"w{k}x" for k in range(40_000))
+    rows = [(1, one, "en"), (1, one, "en"), (1, two, "en"), (2, one + " more", None), (None, three, "en"), (None, three, "en"), (3, None, "en"), (4, "", None), (5, long, "xx"), (6, "short", "en")]
+    docs = spark.createDataFrame([(i, t, lang, "s", len(t or "")) for i, t, lang in rows], DOC).withColumn("class", F.lit(1)).withColumn("kept", F.lit("x")).withColumn("a", F.lit(2))
+    stage = docs
+    for _, run in corpus_pipeline.STAGES[:4]:
+        stage, _ = materialize(run(spark, stage, sf_dir), "edges")
+        assert stage.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text[:9]) for r in stage.collect()) == sorted([(1, one[:9]), (1, two[:9]), (0, three[:9]), (5, long[:9])])
+    assert {r.doc_id for r in corpus_pipeline.STAGES[4][1](spark, stage, sf_dir).collect()} == {1, None, 5}
+    nothing = docs.where("false")
+    for _, run in corpus_pipeline.STAGES:
+        nothing, _ = materialize(run(spark, nothing, sf_dir), "nothing")
+        assert nothing.count() == 0
+
+
 def test_duckdb_is_there():
     assert duckdb.sql("select 1").fetchall() == [(1,)]
