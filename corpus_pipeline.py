@@ -10,22 +10,25 @@ from lumenql.llm.queries import tokenizer_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep. Null and empty texts have no word and go; an empty table stays empty."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group that links at a Jaccard of 0.8 over five-word shingles."""
+    """One document, the one with the smallest id, of each group that links at a Jaccard of 0.8 over five-word shingles.
+
+    Rows are told by id and text; see ``near_dup.drop_near_copies`` for ids that are null or shared.
+    """
     return near_dup.drop_near_copies(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Rows whose text holds no benchmark item; a clean text stays though another row of its id goes."""
     return decontam.drop_leaked(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts masked; ``n_chars`` counts the text as it now is."""
+    """All documents, secrets in their texts masked; ``n_chars`` counts the text as it now is. Null texts stay as they are."""
     from pyspark.sql import functions as F
 
     masked = secret_scan.redact(docs)
@@ -33,7 +36,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document."""
+    """Token ids of every document; a null or empty text has none."""
     return bpe.encode_decode(docs, tokenizer_path()).select("doc_id", "n_tokens", "ids")
 
 
