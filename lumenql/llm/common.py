@@ -138,5 +138,13 @@ def running(items: Column, start: Column, kind: str, step, block: int = 512) ->
     return F.flatten(F.aggregate(bind(items, blocks), zero, outer, lambda acc: acc["out"]))
 
 
+#: Bytes for each core below which a table may be one or two row groups, and is dealt out to all cores.
+LEAST_SHARE = 4 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of a folder. A small one, whose few row groups would keep most cores idle, is dealt out as it is read."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < LEAST_SHARE * cores else df

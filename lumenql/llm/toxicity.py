@@ -8,6 +8,9 @@ coordinates; a squared-hinge support vector machine separates words by the label
 sentences that hold them. As the machine is linear in the kernel's features, it is folded
 into one weight for each subsequence, and scoring a word needs no landmark.
 
+The machine is fitted on words, not on whole sentences: summed over a sentence, the few
+subsequences of an insult drown in those of the words around it (README has figures).
+
 A document's score is a logistic function of how many of its words are beyond the margin,
 and how far; its parameters come from documents that the words' machine has not seen.
 """
@@ -29,7 +32,9 @@ from .pretoken import Cache
 ORDER, SPAN, DECAY = 3, 6, 0.7
 #: Symbols: 0 for what only makes gaps, a to z, classes of other letters, word start and end.
 SYMBOLS, START, STOP = 52, 50, 51
-LANDMARKS, MACHINE_WORDS = 128, 20_000
+#: Bounds of the fit, all on its bounded sample of labelled rows. Landmarks of the kernel; words that the machine is
+#: fitted on, of them at most MARKED_WORDS for their odds and the rest by use; words among which plain landmarks are chosen.
+LANDMARKS, MACHINE_WORDS, MARKED_WORDS, SPREAD_WORDS = 128, 20_000, 4000, 512
 #: Labelled documents that the fit reads at most, and characters of the longest that it takes.
 TRAIN_DOCS, TRAIN_CHARS = 4000, 100_000
 PREDICT = 0.7
@@ -159,10 +164,10 @@ def _fit_words(texts: list[str], toxic: np.ndarray) -> tuple[np.ndarray, float]:
     odds = lambda w: np.log((seen[1][w] + 0.5) / sentences[1]) - np.log((seen[0][w] + 0.5) / sentences[0])
     by_use = sorted({*seen[0], *seen[1]}, key=lambda w: (-seen[1][w] - seen[0][w], crc32(w.encode())))
     marked = sorted((w for w in seen[1] if seen[1][w] >= 3), key=lambda w: (-odds(w) * np.sqrt(seen[1][w]), w))
-    words = list(dict.fromkeys([*marked[:4000], *by_use]))[:MACHINE_WORDS]
+    words = list(dict.fromkeys([*marked[:MARKED_WORDS], *by_use]))[:MACHINE_WORDS]
     if not words:
         return np.zeros(SYMBOLS**ORDER), -1.0
-    spread = sorted(by_use[: 4 * LANDMARKS], key=lambda w: crc32(w.encode()))
+    spread = sorted(by_use[:SPREAD_WORDS], key=lambda w: crc32(w.encode()))
     landmarks = list(dict.fromkeys([*marked[: LANDMARKS * 3 // 4], *spread]))[:LANDMARKS]
     table = np.zeros((SYMBOLS**ORDER, len(landmarks)), dtype=np.float32)
     word, code, value = features(landmarks)
@@ -209,14 +214,16 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", most: int = TRAIN_DOCS) -> Model:
     """Fit on at most ``most`` labelled documents of up to ``TRAIN_CHARS`` characters, in the order of a hash of their ids.
 
-    This bound is the fit's only one; scoring reads all documents whole. Nulls do not
-    train, and a document with two labels is toxic if one says so.
+    The fit's bounds are the parameters at the head of this module; scoring reads all
+    documents whole. Nulls do not train, a document with two labels is toxic if one says so,
+    and of texts that share an id the first by its characters trains.
     """
     picked = labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(id_col).cast("long").alias("__id")).agg(F.max(label).cast("int").alias("__y"))
     picked = picked.orderBy(F.xxhash64("__id"), "__id").limit(most)
     rows = docs.where(F.col(text_col).isNotNull() & (F.length(text_col) <= TRAIN_CHARS)).select(F.col(id_col).cast("long").alias("__key"), F.col(text_col).alias("__text"))
     found = rows.join(F.broadcast(picked), F.col("__key") == F.col("__id")).select("__id", "__text", "__y")
-    pairs = sorted((r[0], r[1], r[2]) for r in found.orderBy("__id", "__text").limit(2 * most).collect())
+    found = found.groupBy("__id", "__y").agg(F.min("__text").alias("__text"))  # one text for each of ``most`` ids
+    pairs = sorted((r[0], r[1], r[2]) for r in found.select("__id", "__text", "__y").collect())
     return fit([t for _, t, _ in pairs], [y for _, _, y in pairs])
 
 
@@ -225,7 +232,7 @@ def held_out(id_col: str = "doc_id"):
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, score, n_hits`` of every document; null texts count as empty, other columns are ignored."""
+    """``doc_id, score, n_hits`` of every row; null texts count as empty, very long ones are scored whole, other columns are ignored, and an empty table gives no row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

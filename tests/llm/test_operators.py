@@ -534,6 +534,49 @@ def test_kernel_features_equal_brute_force():
     assert dict(zip(code.tolist(), value.round(9))) == {c: round(v / norm, 9) for c, v in want.items()}
 
 
+def dense_kernel(a, b):
+    """The gapped-subsequence kernel of two words by enumeration, each word of unit length."""
+
+    def vector(word):
+        codes = [toxicity.START, *[toxicity._symbol(c) for c in word], toxicity.STOP]
+        out = Counter()
+        for i in range(len(codes)):
+            for j in range(i + 1, len(codes)):
+                for k in range(j + 1, min(len(codes), i + toxicity.SPAN)):
+                    if codes[i] and codes[j] and codes[k]:
+                        out[codes[i], codes[j], codes[k]] += toxicity.DECAY ** (k - i + 1)
+        norm = sum(v * v for v in out.values()) ** 0.5
+        return {c: v / norm for c, v in out.items()}
+
+    x, y = vector(a), vector(b)
+    return sum(v * y.get(c, 0.0) for c, v in x.items())
+
+
+def test_machine_equals_dense_kernel(monkeypatch):
+    """With every word a landmark, the folded machine is the kernel machine that a dense kernel matrix gives."""
+    rng = random.Random(6)
+    plain = sorted({"".join(rng.choice("etaoinshr") for _ in range(5)) for _ in range(40)})
+    texts = [" ".join(rng.choice(plain) for _ in range(12)) + (" moron scum" if k % 3 == 0 else "") for k in range(60)]
+    y = np.array([int(k % 3 == 0) for k in range(60)])
+    monkeypatch.setattr(toxicity, "LANDMARKS", 500)
+    weight, bias = toxicity._fit_words(texts, y)
+    words = sorted({w for t in texts for w in t.split()})
+    kernel = np.array([[dense_kernel(a, b) for b in words] for a in words])
+    count = [Counter(), Counter()]
+    for t, label in zip(texts, y):
+        count[label].update(set(t.split()))
+    total = [1 + int((y == 0).sum()), 1 + int((y == 1).sum())]
+    pos, neg = (np.array([count[label][w] / total[label] for w in words]) for label in (1, 0))
+    cost, target = 2000.0 * np.r_[pos, 3 * neg + 0.5 / total[1]], np.r_[np.ones(len(words)), -np.ones(len(words))]
+    # The same machine in its dual form: f = K a + b, squared hinge, ridge a' K a / 2.
+    size, turn = np.linalg.eigh(kernel)
+    root = turn[:, size > 1e-6] * np.sqrt(size[size > 1e-6])
+    fit = toxicity._machine(np.r_[root, root], target, cost)
+    want = root @ fit[:-1] + fit[-1]
+    got = toxicity.Model(weight, bias, np.zeros(6)).words(words)
+    assert got == pytest.approx(want, abs=1e-3)
+
+
 def test_toxicity_edges(edge, none, spark):
     for labels in ([], [(1, 0)], [(1, 0), (3, 1), (4, None), (None, 1)]):
         model = toxicity.train(edge, spark.createDataFrame(labels, "doc_id long, toxic int"))
