@@ -541,7 +541,7 @@ def _solution(spark: SparkSession, sf_dir: str) -> str:
     for k, name, region in nations(spark, sf_dir):
         of = projects.setdefault(region, {"Id": f"p{region}", "Name": f"P{region}", "Classes": [], "Interfaces": [], "Enums": [], "Structs": [], "NugetPackages": [{"Id": f"own{region}", "IsTransitive": False}, {"Id": f"far{region}", "IsTransitive": True}]})
         place = [{"Document": f"d{k}", "StartLine": k, "StartColumn": 0, "EndLine": k, "EndColumn": 9}]
-        method = {"Name": f"Run{k}" + ("Async" if k % 4 == 0 else ""), "HasDocumentation": k % 2 == 0, "ReferenceCount": k % 3, "IsAsync": k % 2 == 0, "CyclomaticComplexity": k, "NestingDepth": k % 6, "UnusedParameterCount": k % 2, "UnusedVariableCount": k % 3, "Parameters": [{"Name": f"a{k}", "Type": "int", "IsUsed": k % 2 == 0}], "Variables": [{"Name": f"v{k}", "Type": "int", "IsUsed": k % 3 == 0}], "References": place}
+        method = {"Name": f"Run{k}" + ("Async" if k % 4 == 0 else ""), "HasDocumentation": k % 2 == 0, "ReferenceCount": k % 3, "IsAsync": k % 2 == 0, "CyclomaticComplexity": k, "NestingDepth": k % 6, "UnusedParameterCount": k % 2, "UnusedVariableCount": k % 3, "Parameters": [{"Name": f"a{k}", "Type": "int", "IsUsed": k % 2 == 0}], "Variables": [{"Name": f"v{k}", "Type": "int", "IsUsed": k % 3 == 0}], "References": place, "ReturnType": f"T{k}", "Body": {"Lines": k, "Calls": [{"Name": f"c{k}"}]}}
         of["Classes"].append({"Name": name, "HasDocumentation": k % 3 == 0, "ReferenceCount": k % 2, "BaseTypes": [f"NATION_{k // 2}"] if k else [], "Interfaces": [f"I{k % 4}"], "LackOfCohesion": k / 10, "UnusedFieldCount": k % 5, "Fields": [{"Name": f"f{k}", "Type": "int", "IsUsed": k % 5 == 0}], "Methods": [method], "References": place})
         for kind, letter in (("Interfaces", "I"), ("Enums", "E"), ("Structs", "S")):
             of[kind].append({"Name": f"{letter}{k}", "HasDocumentation": True, "ReferenceCount": k % 2, "References": place})
@@ -572,6 +572,7 @@ _WHOLE = (
 )
 for _name, _call, _what, _where in _WHOLE:
     _symbols(f"symbols_{_name}", f"cross apply s.{_call} x", f"{_what} from nation {_where} --")
+_symbols("symbols_further_properties", "cross apply s.GetMethodsByPattern('*') x cross apply x.Body.Calls c", "'T' || n_nationkey || ' ' || n_nationkey || ' c' || n_nationkey as name", "x.ReturnType || ' ' || ToString(x.Body.Lines) || ' ' || c.Name")
 _symbols("symbols_packages_direct", "cross apply s.Projects p cross apply p.GetNugetPackages(false) x", "distinct 'own' || n_regionkey as name", "x.Id")
 _symbols("symbols_packages_all", "cross apply s.Projects p cross apply p.GetNugetPackages(true) x", "distinct unnest(['own' || n_regionkey, 'far' || n_regionkey]) as name", "x.Id")
 for _name, _get in (("class", "GetClassesByNames('NATION_3')"), ("method", "GetMethodsByNames('Run3')"), ("interface", "GetInterfacesByNames('I3')"), ("enum", "GetEnumsByNames('E3')"), ("struct", "GetStructsByNames('S3')")):
@@ -612,6 +613,7 @@ def _history(spark: SparkSession, sf_dir: str) -> str:
         _git(path, "commit", "-q", "-m", f"side {k}", when=6000 + k, who="s")
     _git(path, "checkout", "-q", "main")
     _git(path, "remote", "add", "origin", "http://host/x.git")
+    _git(path, "branch", "-q", "--set-upstream-to=main", "side")
     with open(f"{path}/fresh.txt", "w") as f:
         f.write("new")
     with open(f"{path}/f0.txt", "a") as f:
@@ -647,6 +649,12 @@ _vcs("git_difference_commits", "select d.Path as path from #git.repository('{pat
 _vcs("git_difference_mixed", "select d.Path as path from #git.repository('{path}') r cross apply r.DifferenceBetweenCommitAndBranch(r.FindMergeBase(r.BranchFrom('refs/heads/side')), r.BranchFrom('refs/heads/side')) d", "select 'side.txt' as path")
 _vcs("git_difference_back", "select d.Path as path, d.ChangeKind as kind from #git.repository('{path}') r cross apply r.DifferenceBetweenBranchAndCommit(r.BranchFrom('refs/heads/side'), r.FindMergeBase(r.BranchFrom('refs/heads/side'))) d", "select 'side.txt' as path, 'Deleted' as kind")
 _vcs("git_patch", "select p.LinesAdded as added, p.LinesDeleted as gone, Length(p.Changes) as files from #git.repository('{path}') r cross apply r.PatchBetween(r.BranchFrom('refs/heads/side'), r.BranchFrom('refs/heads/main')) p", "select count(*)::int as added, 3 as gone, (count(distinct n_regionkey) + 1)::int as files from nation where n_nationkey > 10")
+_vcs("git_difference_contents", "select d.Path as path, d.Exists as there, d.OldMode as was, d.NewMode as now, d.OldContent as old, d.NewContent as new, ToHex(d.NewContentBytes) as raw from #git.repository('{path}') r cross apply r.DifferenceBetween(r.FindMergeBase(r.BranchFrom('refs/heads/side')), r.BranchFrom('refs/heads/side')) d", "select 'side.txt' as path, true as there, '000000' as was, '100644' as now, null as old, body as new, hex(body) as raw from (select string_agg('side ' || range || chr(10), '' order by range) as body from range(3))")
+_vcs("git_patch_changes", "select c.Path as path, c.LinesAdded as added, c.LinesDeleted as gone, c.OldMode as was, c.Mode as now, c.IsBinaryComparison as binary, Contains(c.Content, '-side 1') as told from #git.repository('{path}') r cross apply r.PatchBetween(r.BranchFrom('refs/heads/side'), r.BranchFrom('refs/heads/main')) p cross apply p.Changes c", "select 'side.txt' as path, 0 as added, 3 as gone, '100644' as was, '000000' as now, false as binary, true as told union all select 'f' || n_regionkey || '.txt', count(*)::int, 0, '100644', '100644', false, false from nation where n_nationkey > 10 group by n_regionkey")
+_vcs("git_tag_notes", "select t.Annotation.Tagger.Name as who, t.Annotation.Tagger.Email as mail, t.Annotation.Tagger.WhenSigned as at, t.Annotation.Sha is not null as sha from #git.tags('{path}') t where t.IsAnnotated = true", "select 'a' as who, 'a@x' as mail, to_timestamp(1600000600)::timestamp as at, true as sha")
+_vcs("git_tracking", "select b.FriendlyName as name, b.TrackedBranch.CanonicalName as tracked, b.BranchTrackingDetails.AheadBy as ahead, b.BranchTrackingDetails.BehindBy as behind from #git.branches('{path}') b", "select 'side' as name, 'refs/heads/main' as tracked, 3 as ahead, (select count(*)::int from nation where n_nationkey > 10) as behind union all select 'main', null, null, null")
+_vcs("git_configuration", "select c.Value as value, c.ConfigurationLevel as level from #git.repository('{path}') r cross apply r.Configuration c where c.Key = 'core.bare'", "select 'false' as value, 'Local' as level")
+_vcs("git_merge_base_commit", "select r.FindMergeBase(r.BranchFrom('refs/heads/side')).MergeBaseCommit.Sha = r.FindMergeBase(r.BranchFrom('refs/heads/side')).Sha as same from #git.repository('{path}') r", "select true as same")
 _vcs("git_first_last", "select c.Author as who, MinCommit(c).MessageShort as first, MaxCommit(c).MessageShort as last from #git.commits('{path}') c group by c.Author", "select 'u' || n_regionkey as who, 'add ' || arg_min(n_name, n_nationkey) as first, 'add ' || arg_max(n_name, n_nationkey) as last from nation group by n_regionkey")
 _vcs("git_first_last_parent", "select c.Author as who, MinCommit(c, 1).MessageShort as first, MaxCommit(c, 1).MessageShort as last from #git.commits('{path}') c group by c.Author", "select 'u' || n_regionkey as who, 'add ' || (select arg_min(n_name, n_nationkey) from nation) as first, 'add ' || (select arg_max(n_name, n_nationkey) from nation) as last from nation group by n_regionkey")
 _vcs("git_apply", "select h.CommittedWhen as at from #git.repository('{path}') r cross apply #git.commits(r.WorkingDirectory) h", f"select {_WHEN} as at from nation")

@@ -23,7 +23,7 @@ def array_type(ddl: str) -> str:
 
 def _rows(ddl: str, make: Callable[..., list[tuple]], *args: Column) -> Column:
     """An array of rows from ``make(path, *args)``; nothing where an argument is null or git refuses."""
-    names = [c.split(" ")[0] for c in re.sub(r"<[^ ]*>", "", ddl).split(", ")]
+    names = _names(ddl)
 
     @F.pandas_udf(array_type(ddl))
     def run(*columns: pd.Series) -> pd.Series:
@@ -31,7 +31,7 @@ def _rows(ddl: str, make: Callable[..., list[tuple]], *args: Column) -> Column:
             if any(v is None or v is pd.NA for v in values):
                 return []
             try:
-                return [dict(zip(names, _plain(r))) for r in make(*values)]
+                return [dict(zip(names, _plain(r, ddl))) for r in make(*values)]
             except ValueError:
                 return []
 
@@ -40,10 +40,19 @@ def _rows(ddl: str, make: Callable[..., list[tuple]], *args: Column) -> Column:
     return run(*args)
 
 
-def _plain(row: tuple) -> tuple:
+def _names(ddl: str) -> list[str]:
+    return [c.split(" ")[0] for c in re.split(r", (?![^<]*>)", ddl)]
+
+
+def _plain(row: tuple, ddl: str) -> tuple:
     """Nested rows as dictionaries, as Arrow takes them."""
-    fields = lambda v: {"Sha": v[0]} if len(v) == 1 else {"Path": v[0], "LinesAdded": v[1], "LinesDeleted": v[2]}
-    return tuple([fields(v) for v in x] if isinstance(x, list) else x for x in row)
+    kinds = [c.split(" ", 1)[1] for c in re.split(r", (?![^<]*>)", ddl)]
+
+    def fields(value, kind):
+        names = [f.split(":")[0] for f in re.search(r"struct<(.*?)>", kind)[1].split(",")]
+        return dict(zip(names, value))
+
+    return tuple([fields(v, k) for v in x] if isinstance(x, list) else fields(x, k) if isinstance(x, tuple) else x for x, k in zip(row, kinds))
 
 
 def _path(row: Column) -> Column:
@@ -86,5 +95,9 @@ def branch_specific_commits(row, *args):
 @row_function("git", "FindMergeBase")
 def find_merge_base(row, branch):
     """The best common ancestor of a branch and the branch that it left."""
-    make = lambda path, name: [(git.git(path, "merge-base", name, parent).strip(),)] if (parent := git.parent_of(path, name)) else []
-    return F.get(_rows("Sha string", make, _path(row), branch["CanonicalName"]), 0)
+    def make(path, name):
+        parent = git.parent_of(path, name)
+        sha = parent and git.git(path, "merge-base", name, parent).strip()
+        return [(sha, (sha,))] if sha else []
+
+    return F.get(_rows(git.MERGE_BASE, make, _path(row), branch["CanonicalName"]), 0)

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThanOrEqual, InputPartition, LessThanOrEqual
 
 from .basic import empty, exists
@@ -100,12 +101,28 @@ def service(schema: str, method: str, ddl: str | None):
                 raise ValueError(f"#{schema}.{method} needs a client (option clients) or a saved answer (option snapshots)")
             return empty(engine, ddl)
         reader = engine.spark.read.option("mode", "FAILFAST")
-        df = (reader.schema(ddl) if ddl else reader).json(path)
+        if schema == "csharp":
+            # A symbol table says itself which properties of its entities it holds.
+            known = reader.json(path).schema
+            df = reader.schema(merged(T.StructType.fromDDL(ddl), known)).json(path)
+        else:
+            df = (reader.schema(ddl) if ddl else reader).json(path)
         return _narrow(df, schema, method, list(args))
 
     return make
 
 
+def merged(declared: T.DataType, found: T.DataType) -> T.DataType:
+    """The declared type with every further field, at any depth, that the data has."""
+    if isinstance(declared, T.ArrayType) and isinstance(found, T.ArrayType):
+        return T.ArrayType(merged(declared.elementType, found.elementType))
+    if isinstance(declared, T.StructType) and isinstance(found, T.StructType):
+        have = {f.name: f.dataType for f in found.fields}
+        own = [T.StructField(f.name, merged(f.dataType, have[f.name]) if f.name in have else f.dataType) for f in declared.fields]
+        return T.StructType(own + [f for f in found.fields if f.name not in declared.names])
+    return declared
+
+
 def _narrow(df: DataFrame, schema: str, method: str, args: list) -> DataFrame:
     """The rows of a snapshot that a call's arguments ask for, where the table says whose they are."""
     keys = {"github": ("RepositoryOwner", "RepositoryName"), "kubernetes": ("Namespace",)}.get(schema, ())
