@@ -203,9 +203,9 @@ def sqlite_table(spark, sf_dir):
     return Engine(spark, sqlite=path).sql("select s_suppkey as k, s_name as name, ToInt32(s_nationkey) as nation from #sqlite.supplier()")
 
 
-@query()
-def desc_schema(spark, sf_dir):
-    return Engine(spark, tables=sf_dir).sql("desc #os")
+dialect("desc_schema", "desc #system", """select * from (values ('dual', null, null), ('range', 'max: long', null), ('range', 'min: long', 'max: long')) as t("Name", "Param 0", "Param 1")""")
+dialect("desc_method", "desc #os.metadata", """select * from (values ('metadata', 'directoryOrFile: string', null, null), ('metadata', 'directory: string', 'throwOnMetadataReadError: bool', null), ('metadata', 'directory: string', 'useSubdirectories: bool', 'throwOnMetadataReadError: bool')) as t("Name", "Param 0", "Param 1", "Param 2")""")
+dialect("desc_columns", "desc #tables.nation()", """select * from (values ('n_nationkey', 0, 'int'), ('n_name', 1, 'string'), ('n_regionkey', 2, 'int')) as t("Name", "Index", "Type")""")
 
 
 @query(f"select time_bucket(interval 1 hour, ts) as window_start, event_type, count(*) as n, sum(value::{D}) as total from events group by 1, 2")
