@@ -130,6 +130,7 @@ dialect("issue_functions", "select o_orderkey, ExtractProjectKey(o_orderpriority
 dialect("repo_name", "select n_nationkey, ParseRepoFullName(Combine('own', n_name)).Repo as repo, ParseRepoFullName(n_name).Owner as none from #tables.nation()", "select n_nationkey, n_name as repo, '' as none from nation")
 dialect("hex_text", "select n_nationkey, ToHex(n_name) as plain, ToHex(n_name, ' ') as spaced from #tables.nation()", "select n_nationkey, hex(n_name) as plain, rtrim(regexp_replace(hex(n_name), '(..)', '\\1 ', 'g')) as spaced from nation")
 dialect("days_between", "select o_orderkey, DaysBetween(o_orderdate, ToDateTimeOffset('01/01/2000')) as d, IsStale(o_orderdate, 100, ToDateTimeOffset('01/01/1996')) as stale from #tables.orders()", "select o_orderkey, (epoch_us(timestamp '2000-01-01') - epoch_us(o_orderdate)) / 86400000000.0::double as d, (epoch_us(timestamp '1996-01-01') - epoch_us(o_orderdate)) / 86400000000.0::double > 100 as stale from orders")
+dialect("age_days", "select o_orderkey as k, AgeDays(o_orderdate) > 5000 as old from #tables.orders()", "select o_orderkey as k, epoch_us(o_orderdate) < epoch_us(timestamp '2010-01-01') as old from orders")
 dialect("dates", "select ExtractFromDate('02/28/2012', 'month') as m, ExtractFromDate('28/02/2012', 'pl-PL', 'day') as d, ToDecimal('x') is null as bad, ToDecimal('1.5') as good from #system.dual()", "select 2 as m, 28 as d, true as bad, 1.5::decimal(38,18) as good")
 
 
