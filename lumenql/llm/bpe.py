@@ -145,7 +145,8 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
     columns are replaced by ``ids_sha256`` (of the decimal ids joined by one space) and
     ``decoded_sha256``. ``tokenizer`` is the path of a tokenizers-library file, readable
     on every executor. Null texts count as empty and have no token; repeated rows give a
-    row each; other columns are ignored.
+    row each; very long texts are encoded whole; other columns are ignored, and an empty
+    table gives no row.
     """
 
     def run(batches):

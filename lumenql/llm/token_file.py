@@ -81,7 +81,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_
     Documents are range-partitioned by id, sorted, and encoded as they are written; a
     partition's blocks are numbered, so the order of all documents is (part, block). Null
     texts count as empty. Rows without an id sort first and read back with a null id.
-    Rows that share an id may come in either order, each with its own tokens.
+    Rows that share an id may come in either order, each with its own tokens. Very long
+    texts are encoded whole, other columns are ignored, and a table without rows writes no block.
     """
 
     def run(batches):
