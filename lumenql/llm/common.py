@@ -52,7 +52,7 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -21,7 +21,7 @@ ARRIVALS = 11
 #: Runs up to this size are the lowest tier.
 BASE_BYTES = 64 << 20
 #: Records of pages longer than this are segmented.
-SEGMENT_BYTES = 4096
+SEGMENT_BYTES = 8192
 
 
 def tokenizer_path() -> str:
