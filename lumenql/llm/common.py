@@ -62,11 +62,13 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(whole), F.xxhash64(F.lit(7), whole)]
 
 
-def in_groups(df: DataFrame, keys: list[str], use, schema: str, order: Column | None = None) -> DataFrame:
-    """``use(table)`` for the rows of each group of ``keys``, as batches; one group at a time is in memory.
+def in_groups(df: DataFrame, keys: list[str], use, schema: str, order: Column | None = None, together: bool = False) -> DataFrame:
+    """``use(table)`` for the rows of each group of ``keys``, as batches.
 
-    Groups must be bounded. Rows are exchanged and sorted by the keys, which are long
-    columns without nulls, and by ``order`` within them.
+    Groups must be bounded: one is in memory at a time, or with ``together`` the whole
+    groups that end in a batch, for a ``use`` that tells them apart itself. Rows are
+    exchanged and sorted by the keys, which are long columns without nulls, and by
+    ``order`` within them.
     """
     ordered = df.repartition(*keys).sortWithinPartitions(*keys, *([] if order is None else [order]))
 
@@ -77,17 +79,18 @@ def in_groups(df: DataFrame, keys: list[str], use, schema: str, order: Column |
             if not batch.num_rows:
                 continue
             columns = [batch.column(batch.schema.get_field_index(k)).to_numpy() for k in keys]
-            cuts = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1
-            begins = [0, *cuts.tolist(), batch.num_rows]
-            first = tuple(c[0] for c in columns)
-            if held and first != last:
+            cuts = (np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1).tolist()
+            if held and tuple(c[0] for c in columns) != last:
+                cuts = [0, *cuts]
+            if together:
+                cuts = cuts[-1:]
+            begin = 0
+            for cut in cuts:
+                if cut > begin:
+                    held.append(batch.slice(begin, cut - begin))
                 yield from use(pa.Table.from_batches(held))
-                held = []
-            for k, (begin, end) in enumerate(zip(begins, begins[1:])):
-                if k:
-                    yield from use(pa.Table.from_batches(held))
-                    held = []
-                held.append(batch.slice(begin, end - begin))
+                held, begin = [], cut
+            held.append(batch.slice(begin))
             last = tuple(c[-1] for c in columns)
         if held:
             yield from use(pa.Table.from_batches(held))

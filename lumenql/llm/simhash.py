@@ -109,19 +109,18 @@ def _dealt(rows: DataFrame, kinds: Column, level: int) -> DataFrame:
     return out.select(F.col("kind").cast("long").alias("kind"), F.col("fp").bitwiseAND(F.element_at(masks, F.col("kind").cast("int") + 1)).alias("part"), "fp", "rep")
 
 
-def _rank(fp: Column) -> Column:
-    for shift in (1, 2, 4, 8, 16, 32):
-        fp = fp.bitwiseXOR(F.shiftrightunsigned(fp, shift))
-    return fp
-
-
-def _stars(table: pa.Table, radius: int):
-    values, rep = table.column("fp").to_numpy().view(np.uint64), table.column("rep").to_numpy()
-    if len(values) > 1:
-        order = np.argsort(gray_rank(values), kind="stable")
-        label = link(values[order], np.zeros(len(values), np.int64), radius)
-        child = np.flatnonzero(label != np.arange(len(label)))
-        yield pa.RecordBatch.from_arrays([pa.array(rep[order][child]), pa.array(rep[order][label[child]])], ["a", "b"])
+def gray_stars(table: pa.Table, keys: list[str], name: str, radius: int):
+    """Stars of the fingerprints that link within groups of ``keys``, by the values of the column ``name``."""
+    columns = [table.column(k).to_numpy() for k in keys]
+    group = np.cumsum(np.r_[True, np.logical_or.reduce([c[1:] != c[:-1] for c in columns])])
+    several = np.bincount(group)[group] > 1
+    values, own, group = table.column("fp").to_numpy()[several].view(np.uint64), table.column(name).to_numpy()[several], group[several]
+    order = np.lexsort((gray_rank(values), group))
+    values, own, group = values[order], own[order], group[order]
+    label = link(values, group, radius)
+    child = np.flatnonzero(label != np.arange(len(label)))
+    if len(child):
+        yield pa.RecordBatch.from_arrays([pa.array(own[child]), pa.array(own[label[child]])], ["a", "b"])
 
 
 def bucket_links(nodes: DataFrame, radius: int = RADIUS, bucket_rows: int = 4096) -> DataFrame:
@@ -134,7 +133,7 @@ def bucket_links(nodes: DataFrame, radius: int = RADIUS, bucket_rows: int = 4096
     """
     if radius > RADIUS:
         raise ValueError(f"five blocks find links of {RADIUS} differing bits at most")
-    use = lambda table: _stars(table, radius)
+    use = lambda table: gray_stars(table, ["kind", "part"], "rep", radius)
     rows = _dealt(nodes, F.sequence(F.lit(0), F.lit(len(_masks(0)) - 1)), 0)
     out = None
     for level in range(DEEPEST + 1):
@@ -150,7 +149,7 @@ def bucket_links(nodes: DataFrame, radius: int = RADIUS, bucket_rows: int = 4096
                 part = rows.join(crowded, meet, "left_anti")
                 below = F.transform(F.sequence(F.lit(0), F.lit(RADIUS)), lambda k: F.col("kind") * (RADIUS + 1) + k)
                 rows, _ = materialize(_dealt(rows.join(crowded, meet, "left_semi"), below, level + 1), "crowded-rows")
-        found = in_groups(part, ["kind", "part"], use, "a long, b long", _rank(F.col("fp")))
+        found = in_groups(part, ["kind", "part"], use, "a long, b long", together=True)
         out = found if out is None else out.union(found)
         if crowded is None:
             break
