@@ -27,15 +27,14 @@ from pyspark.sql import functions as F
 
 from .common import in_groups, materialize, text_key
 from .components import connected_components
-from .gray import gray_rank, link
-from .simhash import SEED, keep_one, mark_bits
+from .simhash import SEED, gray_stars, keep_one, mark_bits
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5
 #: Bits at which the index links; a pair at 0.8 differs in more with a chance below one in a million.
 RADIUS = 24
 #: Rows of a routing key that the index compares, and shingles and texts of a chunk.
-BUCKET_ROWS, CHUNK_SHINGLES, CHUNK_TEXTS = 4096, 1 << 21, 1024
+BUCKET_ROWS, CHUNK_SHINGLES, CHUNK_TEXTS = 512, 1 << 21, 1024
 #: Shingles that are hashed at once.
 SLICE = 1 << 12
 _TURN = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -96,14 +95,8 @@ def _candidates(signed: DataFrame, radius: int, bucket_rows: int) -> DataFrame:
     routed = dealt.withColumn("key", F.col("bucket").bitwiseXOR(F.lit(1))).join(met, "key").drop("key")
     routed, _ = materialize(routed, "met")
 
-    def use(table: pa.Table):
-        values, node = table.column("fp").to_numpy().view(np.uint64), table.column("node").to_numpy()
-        order = np.argsort(gray_rank(values), kind="stable")
-        label = link(values[order], np.zeros(len(values), np.int64), radius)
-        child = np.flatnonzero(label != np.arange(len(label)))
-        yield pa.RecordBatch.from_arrays([pa.array(node[order][child]), pa.array(node[order][label[child]])], ["a", "b"])
-
-    few = in_groups(routed.where(F.col("n") <= bucket_rows).select("bucket", "node", "fp"), ["bucket"], use, "a long, b long")
+    use = lambda table: gray_stars(table, ["bucket"], "node", radius)
+    few = in_groups(routed.where(F.col("n") <= bucket_rows).select("bucket", "node", "fp"), ["bucket"], use, "a long, b long", together=True)
     return few.union(routed.where((F.col("n") > bucket_rows) & (F.col("node") != F.col("head"))).select("node", "head"))
 
 
