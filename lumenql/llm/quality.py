@@ -166,14 +166,14 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", tex
 
     Null and empty texts have no word and go; repeated rows are judged each, very long texts
     whole; an empty table stays empty.
-    Cutoffs come from a narrow table of metrics; the texts are then judged as they are read.
+    Rows that pass the base rules are written with their measures, so that these are computed
+    once; cutoffs and verdicts then read them back.
     """
-    narrow = docs.select(F.col(id_col), F.col(stratum), F.col(text_col))
-    measured, _ = materialize(metrics(narrow, text_col).drop(text_col), "quality-metrics")
-    cutoffs, _ = materialize(thresholds(measured, labels, id_col=id_col, stratum=stratum, risk=risk), "cutoffs")
     # The row stays in one struct, so that no column of it can clash; a generator keeps the
-    # optimizer from copying the measures' expressions into the filter above the join.
-    rows = docs.select(F.struct("*").alias("__row"), F.col(text_col).alias("__text"), F.col(stratum).alias("__stratum"))
-    seen = F.struct("base_failed", *risk.grids)
-    measured = metrics(rows, "__text").select("__row", "__stratum", F.explode(F.array(seen)).alias("__seen")).select("__row", "__stratum", "__seen.*")
-    return judge(measured, cutoffs, "__stratum", risk).where("kept").select("__row.*")
+    # optimizer from copying the measures' expressions into the filter.
+    rows = docs.select(F.struct("*").alias("__row"), F.col(text_col).alias("__text"))
+    seen = metrics(rows, "__text").select("__row", F.explode(F.array(F.struct("base_failed", *risk.grids))).alias("__seen")).where("not __seen.base_failed")
+    seen = seen.select("__row", F.col("__row")[id_col].alias(id_col), F.col("__row")[stratum].alias(stratum), "__seen.*")
+    measured, _ = materialize(seen, "quality-measured")
+    cutoffs = thresholds(measured, labels, id_col=id_col, stratum=stratum, risk=risk)
+    return judge(measured, cutoffs, stratum, risk).where("kept").select("__row.*")
