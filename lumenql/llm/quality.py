@@ -175,5 +175,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", tex
     seen = metrics(rows, "__text").select("__row", F.explode(F.array(F.struct("base_failed", *risk.grids))).alias("__seen")).where("not __seen.base_failed")
     seen = seen.select("__row", F.col("__row")[id_col].alias(id_col), F.col("__row")[stratum].alias(stratum), "__seen.*")
     measured, _ = materialize(seen, "quality-measured")
-    cutoffs = thresholds(measured, labels, id_col=id_col, stratum=stratum, risk=risk)
+    # Written, so that their small size is known and they are broadcast: rows never move by stratum.
+    cutoffs, _ = materialize(thresholds(measured, labels, id_col=id_col, stratum=stratum, risk=risk), "cutoffs")
     return judge(measured, cutoffs, stratum, risk).where("kept").select("__row.*")
