@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lumenql.llm import bpe, decontam, near_dup, quality, secret_scan
-from lumenql.llm.common import discard, materialize, scratch_scope, table
+from lumenql.llm.common import TEXT_ROWS, discard, in_few, materialize, scratch_scope, table
 from lumenql.llm.queries import tokenizer_path
 
 
@@ -19,12 +19,12 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows are told by id and text; see ``near_dup.drop_near_copies`` for ids that are null or shared.
     """
-    return near_dup.drop_near_copies(docs)
+    return in_few(near_dup.drop_near_copies(docs), docs.count(), 4, TEXT_ROWS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text holds no benchmark item; a clean text stays though another row of its id goes."""
-    return decontam.drop_leaked(docs, table(spark, sf_dir, "benchmark"))
+    return in_few(decontam.drop_leaked(docs, table(spark, sf_dir, "benchmark")), docs.count(), 4, TEXT_ROWS)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,12 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import released
 from .pretoken import Cache, Splitter
 
 #: Entries of each generation of a worker's caches; bounds its memory.
 CACHE = 100_000
 
 
+#: Ids after which rows are handed on; bounds what a worker holds besides its caches.
+HELD_IDS = 1 << 18
 #: Parts above which a fragment is merged through a heap.
 LONG = 64
 _BITS = 20
@@ -150,9 +153,14 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
     """
 
     def run(batches):
-        bpe = load(tokenizer)
+        bpe, kind = load(tokenizer), pa.string() if digests else pa.list_(pa.int32())
         for batch in batches:
-            count, first, second = [], [], []
+            count, first, second, held, begin = [], [], [], 0, 0
+
+            def close():
+                keys = batch.column(0).slice(begin, len(count))
+                return pa.RecordBatch.from_arrays([keys, pa.array(count, pa.int64()), pa.array(first, kind), pa.array(second, pa.string())], names)
+
             for x in batch.column(1):
                 ids = bpe.encode(x.as_py() or "")
                 decoded = bpe.decode(ids)
@@ -163,10 +171,15 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
                 else:
                     first.append(ids)
                     second.append(decoded)
-            kind = pa.string() if digests else pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count, pa.int64()), pa.array(first, kind), pa.array(second, pa.string())], names)
+                held += len(ids)
+                if held >= HELD_IDS:
+                    yield close()
+                    begin += len(count)
+                    count, first, second, held = [], [], [], 0
+            if count:
+                yield close()
 
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "n_tokens", "ids", "decoded"]
     kinds = ["long", "long", "string", "string"] if digests else ["long", "long", "array<int>", "string"]
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
+    return rows.mapInArrow(released(run), ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))

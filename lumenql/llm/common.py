@@ -56,12 +56,40 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+#: Rows of a file of a few narrow columns, and of one with texts.
+FILE_ROWS, TEXT_ROWS = 1 << 18, 1 << 12
+
+
+def in_few(df: DataFrame, rows: int, each: int = 1, file_rows: int = FILE_ROWS) -> DataFrame:
+    """``df`` in about as many partitions as ``rows`` rows need, and at least ``each`` for every core.
+
+    For what is written next: every file costs a commit, and on a local file system the
+    executor starts a process for it. A small table may come in as many partitions as a
+    shuffle has.
+    """
+    return df.coalesce(max(each * df.sparkSession.sparkContext.defaultParallelism, -(-rows // file_rows)))
+
+
 def text_key(text: Column) -> list[Column]:
     """Two independent 64-bit hashes of a text; null counts as empty. Together they name it."""
     whole = F.coalesce(text, F.lit(""))
     return [F.xxhash64(whole), F.xxhash64(F.lit(7), whole)]
 
 
+def released(use):
+    """``use`` for ``mapInArrow``, with Arrow's unused memory handed back at its end.
+
+    Arrow keeps what it frees, so a worker that waits for its next task would go on holding
+    its largest batches, while the executor needs the memory.
+    """
+
+    def run(batches):
+        yield from use(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def in_groups(df: DataFrame, keys: list[str], use, schema: str, order: Column | None = None, together: bool = False) -> DataFrame:
     """``use(table)`` for the rows of each group of ``keys``, as batches.
 
@@ -95,7 +123,7 @@ def in_groups(df: DataFrame, keys: list[str], use, schema: str, order: Column |
         if held:
             yield from use(pa.Table.from_batches(held))
 
-    return ordered.mapInArrow(run, schema)
+    return ordered.mapInArrow(released(run), schema)
 
 
 def words(text: Column) -> Column:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_groups, materialize, text_key
+from .common import in_groups, materialize, released, text_key
 from .pretoken import Cache
 
 WINDOW, COVERAGE = 5, 0.5
@@ -258,13 +258,13 @@ def leaks_by_text(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     item = benchmark.select(F.col(item_col).cast("long").alias("item_id"), *(k.alias(n) for k, n in zip(text_key(F.col(item_text_col)), "cd")), F.col(item_text_col).alias("text"))
     item = item.dropDuplicates(["item_id", "c", "d"])
     every = tuple(range(1, WINDOW + 1))
-    items, _ = materialize(item.mapInArrow(_window_rows(["item_id", "c", "d"], every, None), f"item_id long, c long, d long, {_WINDOWS_DDL}"), "benchmark-windows")
+    items, _ = materialize(item.mapInArrow(released(_window_rows(["item_id", "c", "d"], every, None)), f"item_id long, c long, d long, {_WINDOWS_DDL}"), "benchmark-windows")
     # One row for each width, five at most.
     widths = tuple(sorted(r.width for r in items.select("width").distinct().collect()))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *(k.alias(n) for k, n in zip(text_key(F.col(text_col)), "ab")), F.col(text_col).alias("text"))
     if not widths:
         return docs.sparkSession.createDataFrame([], _LEAKS_DDL)
-    found = rows.mapInArrow(_window_rows(["doc_id", "a", "b"], widths, _Bitmap(items)), f"doc_id long, a long, b long, {_WINDOWS_DDL}")
+    found = rows.mapInArrow(released(_window_rows(["doc_id", "a", "b"], widths, _Bitmap(items))), f"doc_id long, a long, b long, {_WINDOWS_DDL}")
     found = found.select("doc_id", "a", "b", F.col("hash").alias("__hash"), F.col("at").alias("pos"), "value", "slot")
     items = items.withColumnsRenamed({"value": "item_value", "slot": "item_slot"})
     met = found.join(items, F.col("__hash") == F.col("hash")).drop("hash", "__hash")

@@ -17,6 +17,7 @@ Exact copies are one node throughout, so they never meet in pairs.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_groups, materialize, text_key
+from .common import TEXT_ROWS, in_few, in_groups, materialize, released, text_key
 from .components import connected_components
 from .simhash import SEED, gray_stars, keep_one, mark_bits
 
@@ -81,19 +82,19 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(x, pa.int64()) for x in (node, fp, n)), lists], ["doc_id", "a", "b", "node", "fp", "n", "keys"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
-def _candidates(signed: DataFrame, radius: int, bucket_rows: int) -> DataFrame:
-    """Stars of nodes that meet under a routing key within ``radius`` bits."""
+def _candidates(signed: DataFrame, rows: int, radius: int, bucket_rows: int) -> DataFrame:
+    """Stars of nodes that meet under a routing key within ``radius`` bits; ``rows`` bounds the keys' rows."""
     key = F.xxhash64("band", "value")
     dealt = signed.select("node", "fp", F.posexplode("keys").alias("band", "value")).select(key.alias("bucket"), "node", "fp").distinct()
-    dealt, _ = materialize(dealt, "routed")
+    dealt, _ = materialize(in_few(dealt, rows), "routed")
     met = dealt.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("head")).where("n > 1")
     # The key is written differently after the aggregate, so that a crowded key's rows can be split in the join.
     met = met.select(F.col("bucket").bitwiseXOR(F.lit(1)).alias("key"), "n", "head")
     routed = dealt.withColumn("key", F.col("bucket").bitwiseXOR(F.lit(1))).join(met, "key").drop("key")
-    routed, _ = materialize(routed, "met")
+    routed, _ = materialize(in_few(routed, rows), "met")
 
     use = lambda table: gray_stars(table, ["bucket"], "node", radius)
     few = in_groups(routed.where(F.col("n") <= bucket_rows).select("bucket", "node", "fp"), ["bucket"], use, "a long, b long", together=True)
@@ -165,29 +166,32 @@ def _in_chunks(sets: DataFrame, by: str) -> DataFrame:
     return out.withColumn("chunk", F.pmod(F.xxhash64("node", "part"), F.col("chunks")))
 
 
+def _joined(edges: list[DataFrame]) -> tuple[DataFrame, str]:
+    """The components of written tables of links."""
+    return connected_components(reduce(DataFrame.union, edges), sum(e.count() for e in edges))
+
+
 def _parts(sets: DataFrame, edges: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
     """``sets`` with ``part`` as all edges so far have it, and the edges in one table."""
-    whole = edges[0]
-    for e in edges[1:]:
-        whole = whole.union(e)
-    found, _ = connected_components(whole)
+    found, _ = _joined(edges)
     named = found.select(F.col("hi").alias("__node"), "lo")
     return sets.drop("part").join(named, F.col("node") == F.col("__node"), "left").withColumn("part", F.coalesce("lo", "node")).drop("lo", "__node"), found.select("hi", "lo")
 
 
-def _set_links(sets: DataFrame, similarity: float) -> DataFrame:
-    """All links of sets within candidates (``comp``), as parts: ``hi``, ``lo``."""
-    sets, _ = materialize(_in_chunks(sets.withColumn("part", F.col("node")), "comp"), "sets")
-    links, _ = materialize(_exact(sets, ["comp", "chunk"], similarity), "set-links")
+def _set_links(sets: DataFrame, rows: int, similarity: float) -> DataFrame:
+    """All links of at most ``rows`` sets within candidates (``comp``), as parts: ``hi``, ``lo``."""
+    few = lambda df: in_few(df, rows, 4, TEXT_ROWS)
+    sets, _ = materialize(few(_in_chunks(sets.withColumn("part", F.col("node")), "comp")), "sets")
+    links, _ = materialize(few(_exact(sets, ["comp", "chunk"], similarity)), "set-links")
     large = sets.where("chunks > 1")
     if large.isEmpty():
-        return connected_components(links)[0].select("hi", "lo")
+        return _joined([links])[0].select("hi", "lo")
     # One text of each part found so far, chunk by chunk.
     parts, found = _parts(large, [links])
     heads = _in_chunks(parts.where("node = part").drop("chunk", "chunks"), "comp")
-    more, _ = materialize(_exact(heads, ["comp", "chunk"], similarity), "head-links")
+    more, _ = materialize(few(_exact(heads, ["comp", "chunk"], similarity)), "head-links")
     parts, found = _parts(large, [found, more])
-    parts, _ = materialize(parts, "parts")
+    parts, _ = materialize(few(parts), "parts")
     # What lies outside the largest part of its candidate meets everything else there.
     count = parts.groupBy("comp", "part").agg(F.count("*").alias("c"))
     main = count.groupBy("comp").agg(F.max(F.struct("c", "part")).alias("m")).select(F.col("comp").bitwiseXOR(F.lit(1)).alias("__by"), F.col("m.part").alias("main"))
@@ -201,8 +205,8 @@ def _set_links(sets: DataFrame, similarity: float) -> DataFrame:
     whole = every.groupBy("comp").agg(F.max("chunks").alias("__m")).select(F.col("comp").bitwiseXOR(F.lit(1)).alias("__of"), "__m")
     left = outside.withColumn("__key", F.col("comp").bitwiseXOR(F.lit(1))).join(whole, F.col("__key") == F.col("__of"))
     left = left.withColumn("column", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__m") - 1))).withColumn("tile", F.col("chunk") * F.lit(1 << 31) + F.col("column")).select(columns)
-    last, _ = materialize(_exact(left.union(right), ["comp", "tile"], similarity), "tile-links")
-    return connected_components(links.union(more).union(last))[0].select("hi", "lo")
+    last, _ = materialize(few(_exact(left.union(right), ["comp", "tile"], similarity)), "tile-links")
+    return _joined([links, more, last])[0].select("hi", "lo")
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -216,7 +220,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), *(k.alias(n) for k, n in zip(text_key(F.col(text_col)), "ab")), F.col(text_col).alias("text"))
     signed, _ = materialize(_signed(keyed, shingle), "signed")
-    met, _ = connected_components(_candidates(signed.where("n > 0"), radius, bucket_rows))
+    routed = BANDS * signed.count()
+    met, _ = connected_components(_candidates(signed.where("n > 0"), routed, radius, bucket_rows), routed)
     # The smallest node of a candidate has no row of its own there.
     near = met.select(F.col("hi").alias("of"), F.col("lo").alias("comp")).union(met.select("lo", "lo").distinct())
     # One raw text for each node of a candidate.
@@ -228,8 +233,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([shingles(t.as_py(), shingle).tobytes() for t in batch.column(3)], pa.binary())], ["comp", "node", "n", "set"])
 
-    sets = texts.mapInArrow(cut, "comp long, node long, n long, set binary").dropDuplicates(["comp", "node", "n"])
-    found = _set_links(sets, similarity).select(F.col("hi").alias("of"), "lo")
+    sets = texts.mapInArrow(released(cut), "comp long, node long, n long, set binary").dropDuplicates(["comp", "node", "n"])
+    found = _set_links(sets, 2 * met.count(), similarity).select(F.col("hi").alias("of"), "lo")
     return signed.join(found, F.col("node") == F.col("of"), "left").select("doc_id", "a", "b", F.coalesce("lo", "node").alias("class"))
 
 

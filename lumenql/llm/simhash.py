@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_groups, materialize, text_key
+from .common import in_few, in_groups, materialize, text_key
 from .components import connected_components
 from .gray import gray_rank, link
 
@@ -186,7 +186,7 @@ def keep_one(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_c
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "a", "b")
     rows = classes.groupBy("class", "doc_id", "a", "b").agg(F.count("*").alias("n"))
     stays = rows.groupBy("class").agg(F.min(F.struct(*(first[c].alias(c) for c in ("unnamed", "doc_id", "a", "b")), "n")).alias("s"))
-    stays, _ = materialize(stays.select(F.col("s.doc_id").alias("__id"), F.col("s.a").alias("__a"), F.col("s.b").alias("__b"), (F.col("s.n") > 1).alias("__more")), "stays")
+    stays, _ = materialize(in_few(stays, docs.count()).select(F.col("s.doc_id").alias("__id"), F.col("s.a").alias("__a"), F.col("s.b").alias("__b"), (F.col("s.n") > 1).alias("__more")), "stays")
     a, b = text_key(docs[text_col])
     meet = lambda side: (a == side["__a"]) & (b == side["__b"]) & docs[id_col].cast("long").eqNullSafe(side["__id"])
     single, several = stays.where("not __more"), stays.where("__more")

@@ -8,14 +8,17 @@ import re
 import zlib
 from collections import Counter
 from math import comb
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from lumenql.llm import bpe, decontam, gray, near_dup, oracles, pretoken, quality, queries, secret_scan, sharding, simhash, simple8b, token_file, toxicity, url_reputation, warc
+from lumenql.llm import bpe, common, decontam, gray, near_dup, oracles, pretoken, quality, queries, secret_scan, sharding, simhash, simple8b, token_file, toxicity, url_reputation, warc
+from lumenql.llm import components as graph
 from lumenql.llm.common import materialize
 from lumenql.llm.components import connected_components
 from tests.oracle_check import compare
@@ -164,6 +167,33 @@ def test_near_duplicate_classes(spark, monkeypatch, small):
     assert len(set(want)) < len(rows) - 60
 
 
+def test_small_tables_are_written_to_few_files(spark, monkeypatch):
+    """However many partitions a shuffle has: each file costs an executor a commit and, on a local file system, a process."""
+    rng, files = random.Random(6), []
+
+    def counted(df, name):
+        out, path = materialize(df, name)
+        files.append((name, len(out.inputFiles())))
+        return out, path
+
+    for module in (graph, near_dup, simhash):
+        monkeypatch.setattr(module, "materialize", counted)
+    monkeypatch.setattr(near_dup, "CHUNK_TEXTS", 8)
+    rows = varied(rng, 80, 120, 4, "a") + [" ".join(f"v{rng.randrange(9999)}" for _ in range(30)) for _ in range(200)]
+    settings = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        kept = near_dup.drop_near_copies(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), bucket_rows=8)
+        assert kept.count() == len(set(brute_classes(rows)))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {n for n, _ in files} >= {"links", "large-star", "routed", "met", "set-links", "stays"}
+    assert max(n for _, n in files) <= 4 * spark.sparkContext.defaultParallelism
+
+
 def test_set_links_equal_brute_force():
     rng = random.Random(10)
     for _ in range(60):
@@ -474,6 +504,22 @@ def test_encode_edges(edge, none, tokenizer):
     assert bpe.encode_decode(none, queries.tokenizer_path()).count() == 0
 
 
+def test_encoder_hands_rows_on_and_memory_back(texts, monkeypatch):
+    class Rows:
+        select = lambda self, *_: self
+        mapInArrow = lambda self, run, _: run
+
+    back = []
+    monkeypatch.setattr(bpe, "HELD_IDS", 1000)
+    monkeypatch.setattr(common, "pa", SimpleNamespace(default_memory_pool=lambda: SimpleNamespace(release_unused=lambda: back.append(1))))
+    batch = pa.RecordBatch.from_arrays([pa.array(list(texts)), pa.array(list(texts.values()))], ["doc_id", "text"])
+    out = list(bpe.encode_decode(Rows(), queries.tokenizer_path())(iter([batch])))
+    assert [k for b in out for k in b.column(0).to_pylist()] == list(texts) and back == [1]
+    encoder = bpe.load(queries.tokenizer_path())
+    assert [ids for b in out for ids in b.column(2).to_pylist()] == [encoder.encode(t or "") for t in texts.values()]
+    assert len(out) > 1 and all(sum(b.column(1).to_pylist()[:-1]) < 1000 for b in out)
+
+
 def test_simple8b_round_trip():
     rng = np.random.default_rng(5)
     for k in range(60):
