@@ -45,19 +45,21 @@ def pack_rows(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
     width = _widths(ids)
     ids = np.ascontiguousarray(ids, dtype=np.uint64)
     ends = np.cumsum(lengths)
-    left = (np.repeat(ends, lengths) - np.arange(n)).astype(np.int32)
+    left = np.minimum(np.repeat(ends, lengths) - np.arange(n), 127).astype(np.int8)
     choice = np.full(n, ESCAPE, dtype=np.int8)
-    # A run that fits a selector also fits all that hold fewer, wider ids: look on only where the last one fitted.
-    at = np.arange(n, dtype=np.int32)
+    # A run that fits a selector also fits all that hold fewer, wider ids, so the last one that fits holds most.
+    # widest[k] is the greatest width among the ``have`` ids from place k; no selector holds over twice the ids of the one before.
+    widest, have = width, 1
     for selector in [*range(14, 0, -1), ZEROS]:
         count, most = int(COUNT[selector]), int(WIDTH[selector])
-        at = at[left[at] >= count]
-        wide = np.zeros(n + 1, dtype=np.int32)
-        np.cumsum(width > most, out=wide[1:])
-        at = at[wide[at + count] == wide[at]]
-        if not len(at):
+        if count > n:
             break
-        choice[at] = selector
+        if count > have:
+            widest, have = np.maximum(widest[: n - count + 1], widest[count - have :]), count
+        fits = (widest <= most) & (left[: len(widest)] >= count)
+        if not fits.any():
+            break
+        choice[: len(widest)][fits] = selector
     step = COUNT[choice].tolist()
     starts, at = [], 0
     while at < n:
@@ -73,8 +75,10 @@ def pack_rows(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
     out[place[escaped] + 1] = ids[start[escaped]]
     for s in range(1, 15):
         own = np.flatnonzero(selector == s)
+        first, word = start[own], out[place[own]]
         for k in range(int(COUNT[s])):
-            out[place[own]] |= ids[start[own] + k] << np.uint64(k * int(WIDTH[s]))
+            word |= ids[first + k] << np.uint64(k * int(WIDTH[s]))
+        out[place[own]] = word
     row = np.searchsorted(start, ends - lengths)
     return out, np.r_[place, len(out)][row]
 

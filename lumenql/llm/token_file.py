@@ -26,12 +26,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import simple8b
-from .bpe import CACHE
 from .common import scratch
 from .pretoken import Cache, Splitter
 
 MAGIC = b"LQS8B\x01\0\0"
 END_ID = 1
+#: Pre-tokens of each generation of a worker's cache; a packed one takes about 200 bytes.
+KNOWN = 1 << 18
 #: Ids after which a block is closed.
 BLOCK_IDS = 1 << 17
 
@@ -42,7 +43,7 @@ class LibraryEncoder:
     def __init__(self, path: str):
         self.splitter = Splitter(path)
         model, letters = self.splitter.tokenizer.model, self.splitter.letters
-        self.known = Cache(lambda word: array("I", [t.id for t in model.tokenize(letters(word))]).tobytes(), CACHE)
+        self.known = Cache(lambda word: array("I", [t.id for t in model.tokenize(letters(word))]).tobytes(), KNOWN)
 
     def encode(self, text: str) -> bytes:
         """The text's ids as unsigned 32-bit integers of the machine's byte order."""
