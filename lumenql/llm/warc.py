@@ -28,11 +28,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import hadoop
 from .common import in_groups, materialize, scratch, text_key
 
 #: Bytes of a record's block, of a chunk, and records of a file: a file stays below 64 MB, far less when compressed.
 SEGMENT_BYTES, CHUNK_BYTES, FILE_RECORDS = 1 << 16, 1 << 13, 1024
 REVISIT_BYTES = 1000
+#: Leading bits of a digest's hash that have a place in the bitmap of repeated payloads.
+BITMAP_BITS = 26
 #: Names of archive files in a folder; this writer's own end in ``.txt``.
 FILE_NAMES = "*.{txt,warc,gz}"
 END = b"\r\n\r\n"
@@ -190,6 +193,20 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(schema), schema)], schema=schema)
 
 
+def repeated(rows: DataFrame, copies: DataFrame) -> DataFrame:
+    """Adds ``met``: whether a row's ``digest`` may be one of ``copies.of``; false only if it is not.
+
+    A bitmap of the digests' hashes, of 8 MB at most, tells without moving rows.
+    """
+    place = lambda digest: F.shiftrightunsigned(F.xxhash64(digest), 64 - BITMAP_BITS) + 1
+    block = F.bitmap_bucket_number(place("of")).alias("__block")
+    blocks, _ = materialize(copies.groupBy(block).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place("of"))).alias("__bits")), "warc-bitmap")
+    bit = F.bitmap_bit_position(place("digest"))
+    byte = F.conv(F.hex(F.substr("__bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    told = rows.join(F.broadcast(blocks), F.bitmap_bucket_number(place("digest")) == F.col("__block"), "left")
+    return told.withColumn("met", F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))).drop("__block", "__bits")
+
+
 def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", segment_bytes: int = SEGMENT_BYTES, revisit_bytes: int = REVISIT_BYTES) -> None:
     """Write a record for each row; payloads are UTF-8 texts, null ones empty.
 
@@ -202,10 +219,12 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), text.alias("html"), F.sha1(F.encode(text, "UTF-8")).alias("digest"))
     long = rows.where(F.octet_length("html") >= revisit_bytes).groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n"))
     # Two keys, so that the rows of a frequent payload keep an exchange that can be split.
-    copies = long.where("n > 1").select(F.substring("digest", 1, 4).alias("part"), F.col("digest").alias("of"), "keeper")
-    placed = rows.join(copies, (F.substring("digest", 1, 4) == F.col("part")) & (F.col("digest") == F.col("of")), "left")
+    copies, _ = materialize(long.where("n > 1").select(F.substring("digest", 1, 4).alias("part"), F.col("digest").alias("of"), "keeper"), "warc-copies")
+    told = repeated(rows, copies)
+    met = told.where("met").join(copies, (F.substring("digest", 1, 4) == F.col("part")) & (F.col("digest") == F.col("of")), "left")
     revisits = F.when(F.col("page_id").isNull() | (F.col("keeper") != F.col("page_id")), F.col("keeper"))
-    placed = placed.select("page_id", "url", "html", "digest", revisits.alias("refers_to"))
+    names = ("page_id", "url", "html", "digest")
+    placed = told.where("not met").select(*names, F.lit(None).cast("long").alias("refers_to")).union(met.select(*names, revisits.alias("refers_to")))
 
     if not 0 < segment_bytes < 1 << 23:
         raise ValueError("segments have to be shorter than 8 MB")
@@ -228,6 +247,11 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
 
     members = placed.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
     members.write.option("lineSep", "\0").option("compression", "none").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    # Spark's first task makes a file even if it has no row.
+    first, fs = hadoop(pages.sparkSession, f"{path}/part-00000-*")
+    for status in fs.globStatus(first):
+        if not status.getLen():
+            fs.delete(status.getPath(), False)
 
 
 def _files(spark: SparkSession, path: str, names: str) -> DataFrame:

@@ -427,6 +427,23 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.read_records(spark, str(tmp_path / "w")).where("record_type = 'continuation'").count() > 100
 
 
+def test_only_repeated_payloads_move(spark, tmp_path):
+    """Rows whose payload stands once are told by a bitmap, so that their texts are not shuffled."""
+    rows = [(k, f"http://{k}", f"{k % 2000:04} " * 400) for k in range(2040)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    digests = pages.select("page_id", F.sha1("html").alias("digest"))
+    copies = digests.groupBy(F.col("digest").alias("of")).count().where("count > 1")
+    met = {r.page_id for r in warc.repeated(digests, copies).where("met").collect()}
+    assert met >= {*range(40), *range(2000, 2040)} and len(met) < 90
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = {r.page_id: (r.record_type, r.refers_to, r.payload_digest) for r in warc.round_trip(pages, str(tmp_path / "w")).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == {k: (*(("revisit", k + 2000) if k < 40 else ("response", None)), hashlib.sha1(html.encode()).hexdigest()) for k, _, html in rows}
+
+
 def test_foreign_archive(spark, tmp_path):
     """Loose header lines, other record types, base-32 digests, shuffled segments, one gzip member or none."""
     page = b"<p>h\xe9llo</p>"
