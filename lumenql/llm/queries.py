@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontam, quality, secret_scan, sharding, simhash, token_file, toxicity, url_reputation, warc
-from .common import table
+from .common import in_few, table
 
 #: Tokenizer file of the encoding queries, by the name that its package gives it.
 TOKENIZER = "word_bpe_49k.json"
@@ -22,6 +22,8 @@ ARRIVALS = 11
 BASE_BYTES = 64 << 20
 #: Records of pages longer than this are segmented.
 SEGMENT_BYTES = 8192
+#: Pages that a task of the query's last stage reads back, at most, on average.
+WARC_ROWS = 1 << 16
 
 
 def tokenizer_path() -> str:
@@ -64,8 +66,9 @@ def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = warc.round_trip(table(spark, sf_dir, "pages"), segment_bytes=SEGMENT_BYTES)
-    return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    pages = table(spark, sf_dir, "pages")
+    back = warc.round_trip(pages, segment_bytes=SEGMENT_BYTES)
+    return in_few(back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"), pages.count(), file_rows=WARC_ROWS)
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

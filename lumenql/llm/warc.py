@@ -31,8 +31,12 @@ from pyspark.sql import functions as F
 from ..storage import hadoop
 from .common import in_groups, materialize, scratch, text_key
 
-#: Bytes of a record's block, of a chunk, and records of a file: a file stays below 64 MB, far less when compressed.
-SEGMENT_BYTES, CHUNK_BYTES, FILE_RECORDS = 1 << 16, 1 << 13, 1024
+#: Bytes of a record's block, of a chunk, and of a file with its records' heads before compression.
+SEGMENT_BYTES, CHUNK_BYTES, FILE_BYTES = 1 << 16, 1 << 13, 1 << 26
+#: Bytes of a record's head, more than usual ones have.
+HEAD_BYTES = 1 << 10
+#: Bytes above which a batch goes to Spark. Its heap grows by large arrays and does not shrink again.
+BATCH_BYTES = 1 << 21
 REVISIT_BYTES = 1000
 #: Leading bits of a digest's hash that have a place in the bitmap of repeated payloads.
 BITMAP_BITS = 26
@@ -182,11 +186,10 @@ def _page(fields: dict[str, str], block: bytes, verify: bool) -> tuple:
 
 #: Record types that hold or stand for a page; others (information, requests, metadata) are no pages.
 PAGES = ("response", "resource", "revisit")
-_PAGE_FIELDS = [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())]
-_PAGE = pa.schema(_PAGE_FIELDS)
+_PAGE = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())])
 _PAGE_DDL = "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
-_RECORD = pa.schema([*_PAGE_FIELDS, ("origin", pa.string()), ("number", pa.int64()), ("total", pa.int64()), ("head", pa.string()), ("block", pa.binary())])
-_RECORD_DDL = f"{_PAGE_DDL}, origin string, number long, total long, head string, block binary"
+_SEGMENT = pa.schema([("origin", pa.string()), ("number", pa.int64()), ("total", pa.int64()), ("head", pa.string()), ("block", pa.binary())])
+_SEGMENT_DDL = "origin string, number long, total long, head string, block binary"
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -200,7 +203,7 @@ def repeated(rows: DataFrame, copies: DataFrame) -> DataFrame:
     """
     place = lambda digest: F.shiftrightunsigned(F.xxhash64(digest), 64 - BITMAP_BITS) + 1
     block = F.bitmap_bucket_number(place("of")).alias("__block")
-    blocks, _ = materialize(copies.groupBy(block).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place("of"))).alias("__bits")), "warc-bitmap")
+    blocks = copies.groupBy(block).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place("of"))).alias("__bits"))
     bit = F.bitmap_bit_position(place("digest"))
     byte = F.conv(F.hex(F.substr("__bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
     told = rows.join(F.broadcast(blocks), F.bitmap_bucket_number(place("digest")) == F.col("__block"), "left")
@@ -239,14 +242,14 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
                     member = gzip.compress(r, 6, mtime=0)
                     out.append(member[:-1])  # the writer adds the zero byte that ends a member
                     size += len(member)
-                if size > 1 << 23:
+                if size > BATCH_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
                     out, size = [], 0
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
     members = placed.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
-    members.write.option("lineSep", "\0").option("compression", "none").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    members.write.option("lineSep", "\0").option("compression", "none").option("maxRecordsPerFile", FILE_BYTES // (segment_bytes + HEAD_BYTES)).text(path)
     # Spark's first task makes a file even if it has no row.
     first, fs = hadoop(pages.sparkSession, f"{path}/part-00000-*")
     for status in fs.globStatus(first):
@@ -276,30 +279,38 @@ def read_warc(spark: SparkSession, path: str, *, names: str = FILE_NAMES, verify
 
     Any archive will do, compressed or not; records of types other than ``PAGES`` are left
     out, and ``page_id`` and ``refers_to`` are null where an archive does not carry them.
-    One pass decodes whole records and sets segments aside in the shared folder. Segments
-    alone are shuffled, by their origin, and put together there; a group is one page's
-    record. Damaged archives raise, and with ``verify`` so do wrong SHA-1 digests. No file
-    gives no row.
+    The archives are read for whole records, which are decoded where they are read, and
+    again for segments: these alone are shuffled, by their origin, and put together there;
+    a group is one page's record. Nothing of an archive is kept elsewhere. Damaged archives
+    raise, and with ``verify`` so do wrong SHA-1 digests. No file gives no row.
     """
 
-    def scan(batches):
-        none = (None,) * len(_PAGE_FIELDS)
-        for batch in batches:
-            for content in batch.column(0):
-                out, size = [], 0
-                for fields, block in parse(content.as_py()):
-                    kind = fields.get("warc-type")
-                    if "warc-segment-number" in fields:
-                        total = fields.get("warc-segment-total-length")
-                        origin = fields.get("warc-segment-origin-id", fields.get("warc-record-id"))
-                        out.append((*none, origin, int(fields["warc-segment-number"]), total and int(total), json.dumps(fields), block))
-                    elif kind in PAGES:
-                        out.append((*_page(fields, block, verify), *(None,) * 5))
-                    size += len(block)
-                    if size > 1 << 24:
-                        yield _batch(out, _RECORD)
-                        out, size = [], 0
-                yield _batch(out, _RECORD)
+    def whole(fields: dict[str, str], block: bytes) -> tuple | None:
+        return None if "warc-segment-number" in fields or fields.get("warc-type") not in PAGES else _page(fields, block, verify)
+
+    def segment(fields: dict[str, str], block: bytes) -> tuple | None:
+        if "warc-segment-number" not in fields:
+            return None
+        total = fields.get("warc-segment-total-length")
+        origin = fields.get("warc-segment-origin-id", fields.get("warc-record-id"))
+        return (origin, int(fields["warc-segment-number"]), total and int(total), json.dumps(fields), block)
+
+    def scan(take, schema: pa.Schema):
+        def run(batches):
+            for batch in batches:
+                for content in batch.column(0):
+                    out, size = [], 0
+                    for fields, block in parse(content.as_py()):
+                        if (row := take(fields, block)) is None:
+                            continue
+                        out.append(row)
+                        size += len(block)
+                        if size > BATCH_BYTES:
+                            yield _batch(out, schema)
+                            out, size = [], 0
+                    yield _batch(out, schema)
+
+        return run
 
     def join(table: pa.Table):
         rows = table.to_pylist()
@@ -309,10 +320,9 @@ def read_warc(spark: SparkSession, path: str, *, names: str = FILE_NAMES, verify
         if fields.get("warc-type") in PAGES:
             yield _batch([_page(fields, block, verify)], _PAGE)
 
-    found, _ = materialize(_files(spark, path, names).mapInArrow(scan, _RECORD_DDL), "warc-records")
-    whole = found.where("origin is null").select(*_PAGE.names)
-    parts = found.where("origin is not null").select(*(k.alias(n) for k, n in zip(text_key(F.col("origin")), "ab")), "number", "total", "head", "block")
-    return whole.union(in_groups(parts, ["a", "b"], join, _PAGE_DDL))
+    files = _files(spark, path, names)
+    parts = files.mapInArrow(scan(segment, _SEGMENT), _SEGMENT_DDL).select(*(k.alias(n) for k, n in zip(text_key(F.col("origin")), "ab")), "number", "total", "head", "block")
+    return files.mapInArrow(scan(whole, _PAGE), _PAGE_DDL).union(in_groups(parts, ["a", "b"], join, _PAGE_DDL))
 
 
 def round_trip(pages: DataFrame, path: str | None = None, **options) -> DataFrame:

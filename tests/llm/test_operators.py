@@ -9,6 +9,7 @@ import time
 import zlib
 from collections import Counter
 from math import comb
+from pathlib import Path
 from types import SimpleNamespace
 
 import duckdb
@@ -444,6 +445,21 @@ def test_only_repeated_payloads_move(spark, tmp_path):
     assert got == {k: (*(("revisit", k + 2000) if k < 40 else ("response", None)), hashlib.sha1(html.encode()).hexdigest()) for k, _, html in rows}
 
 
+def test_archives_are_few_files(spark, tmp_path, sf_dir):
+    """Files are cut by bytes, not by a number of records that suits the longest ones, and what is read back is written nowhere else."""
+    pages = spark.range(3000).coalesce(1).select(F.col("id").alias("page_id"), F.lit("http://x").alias("url"), F.repeat(F.format_string("%04d ", "id"), 300).alias("html"))
+    before = {str(p) for p in Path(common.shared_dir(spark).removeprefix("file:")).rglob("part-*")}
+    back = warc.round_trip(pages, str(tmp_path / "w"), segment_bytes=8192)
+    assert back.agg(F.count("*"), F.sum("payload_bytes"), F.countDistinct("payload_digest")).first() == (3000, 3000 * 1500, 3000)
+    assert len(list((tmp_path / "w").glob("part-*.txt"))) == 1
+    kept = {str(p) for p in Path(common.shared_dir(spark).removeprefix("file:")).rglob("part-*")} - before
+    assert kept and not [p for p in kept if "warc-copies" not in p]
+    # The widest segments still make files of less than 64 MB.
+    assert warc.FILE_BYTES // (warc.SEGMENT_BYTES + warc.HEAD_BYTES) <= 1024
+    cores = spark.sparkContext.defaultParallelism
+    assert queries.op5_warc(spark, sf_dir).rdd.getNumPartitions() <= cores
+
+
 def test_foreign_archive(spark, tmp_path):
     """Loose header lines, other record types, base-32 digests, shuffled segments, one gzip member or none."""
     page = b"<p>h\xe9llo</p>"
