@@ -743,6 +743,24 @@ def test_short_items_and_scripts_without_spaces(spark, item, text, found):
     assert [(r.doc_id, r.item_id) for r in got] == ([(1, 3)] if found else [])
 
 
+def test_tokens_are_coded_together(monkeypatch):
+    """Texts are cut and coded as arrays: as the expression cuts them, for every character, and without a call for each word."""
+    singly = lambda text: [decontam._token_code(t) for t in decontam.TOKEN.findall(text)]
+    codes = pretoken.Cache(decontam._token_code, 1 << 16)
+    decontam.template(f"{ITEM} 1,234.5 It takes 12 days. Élan ǅ ² ٣ 中文", codes)
+    assert not codes
+    points = [p for p in range(1, 0x3000) if p not in (0x130, 0x3A3)] + list(range(0x3000, 0x1FFFF, 61))
+    text = "".join(f"a{c}1{c}2 {c} " for c in map(chr, points) if not "\ud800" <= c <= "\udfff")
+    assert decontam.token_codes(text, codes).tolist() == singly(text) and not codes
+    units = " ".join(f"7 {w} {w.upper()}" for w in sorted(decontam.UNITS | decontam.NUMERALS))
+    assert decontam.token_codes(units, codes).tolist() == singly(units)
+    pick = random.Random(5)
+    monkeypatch.setattr(decontam, "_PIECE", 4)
+    for _ in range(2000):
+        text = "".join(pick.choice("aBé1²٣.,:!?\n _中ก-ǅ𝐀x ΣİΑ ½") for _ in range(pick.randrange(60)))
+        assert decontam.token_codes(text, codes).tolist() == singly(text)
+
+
 def brute_leaks(doc, item, share=decontam.COVERAGE):
     """Whether a document leaks an item, by comparing every pair of windows token by token."""
     codes = pretoken.Cache(decontam._token_code, 1 << 16)
