@@ -21,32 +21,117 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import simple8b
 from .common import scratch
-from .pretoken import Cache, Splitter
+from .pretoken import PLAIN, Cache, Splitter
 
 MAGIC = b"LQS8B\x01\0\0"
 END_ID = 1
 #: Pre-tokens of each generation of a worker's cache; a packed one takes about 200 bytes.
 KNOWN = 1 << 18
+#: Words of a worker's table, which takes about 40 bytes for each, and ids for each of them above which it is trimmed too.
+WORDS, WORD_IDS = 1 << 20, 32
+#: Characters whose words are looked up at once; a longer text makes a group of its own.
+GROUP_CHARS = 1 << 22
 #: Ids after which a block is closed.
 BLOCK_IDS = 1 << 17
 
 
+class WordTable:
+    """Words and their ids as columns, in which all words of a group of texts are looked up at once.
+
+    When it holds more than ``size`` words, or very many ids, those go that no later group
+    has asked for, and very long ones; at most half of ``size`` stay, the oldest.
+    """
+
+    def __init__(self, make, size: int):
+        self._make, self._size = make, size
+        self.words = pa.array([], pa.string())
+        self.count, self.used = np.zeros(0, np.int64), np.zeros(0, bool)
+        self.ids = np.zeros(0, np.uint32)
+
+    def encode(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all the words in a row, and the number of each word's ids."""
+        if len(self.words) > self._size or len(self.ids) > WORD_IDS * self._size:
+            self._trim()
+        known = len(self.words)
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False)
+        gaps = np.flatnonzero(at < 0)
+        self.used[at[at >= 0]] = True
+        if len(gaps):
+            new = words.take(pa.array(gaps)).dictionary_encode()
+            at = at.copy()
+            at[gaps] = known + new.indices.to_numpy()
+            self._add(new.dictionary)
+        count = self.count[at]
+        ends = np.cumsum(count)
+        first = (np.cumsum(self.count) - self.count)[at]
+        return self.ids[np.repeat(first - (ends - count), count) + np.arange(count.sum())], count
+
+    def _add(self, new: pa.StringArray) -> None:
+        packed = self._make(new.to_numpy(zero_copy_only=False).tolist())
+        self.words = pa.concat_arrays([self.words, new])
+        self.count = np.r_[self.count, np.array([len(p) // 4 for p in packed], np.int64)]
+        self.used = np.r_[self.used, np.zeros(len(new), bool)]
+        self.ids = np.r_[self.ids, np.frombuffer(b"".join(packed), np.uint32)]
+
+    def _trim(self) -> None:
+        stay = np.zeros(len(self.words), bool)
+        stay[np.flatnonzero(self.used & (self.count <= WORD_IDS))[: self._size // 2]] = True
+        self.words, self.ids = self.words.filter(pa.array(stay)), self.ids[np.repeat(stay, self.count)]
+        self.count, self.used = self.count[stay], np.zeros(int(stay.sum()), bool)
+
+
 class LibraryEncoder:
-    """The tokenizers library, whose model encodes each new pre-token once and keeps it as packed ids."""
+    """The tokenizers library, whose model encodes each new pre-token once and keeps it as packed ids.
+
+    White space is part of no pre-token, so a plain text's ids are those of the words between
+    its white space, which a table holds; other texts are cut by the library.
+    """
 
     def __init__(self, path: str):
         self.splitter = Splitter(path)
         model, letters = self.splitter.tokenizer.model, self.splitter.letters
         self.known = Cache(lambda word: array("I", [t.id for t in model.tokenize(letters(word))]).tobytes(), KNOWN)
+        self.table = WordTable(self._words, WORDS)
 
     def encode(self, text: str) -> bytes:
         """The text's ids as unsigned 32-bit integers of the machine's byte order."""
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts):
+        """``encode`` of each text, in order."""
+        group: list[str] = []
+        held = 0
+        for text in texts:
+            if group and held + len(text) > GROUP_CHARS:
+                yield from self._group(group)
+                group, held = [], 0
+            group.append(text)
+            held += len(text)
+        yield from self._group(group)
+
+    def _group(self, texts: list[str]):
+        plain = [None if any(mark in text for mark in self.splitter.special) or not PLAIN.fullmatch(text) else text.lower() for text in texts]
+        words = pc.ascii_split_whitespace(pa.array(plain, pa.string()))
+        ids, count = self.table.encode(words.flatten())
+        ends = np.r_[0, 4 * np.cumsum(count)][np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False))].tolist()
+        packed, begin = ids.tobytes(), 0
+        for text, own, end in zip(texts, plain, ends):
+            yield self._other(text) if own is None else packed[begin:end]
+            begin = end
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of words of lower-case plain texts; one of letters only is a pre-token."""
+        get, cut = self.known.__getitem__, self.splitter.plain
+        return [get(word) if word.isalpha() else b"".join(map(get, cut(word))) for word in words]
+
+    def _other(self, text: str) -> bytes:
         get = self.known.__getitem__
         return b"".join([array("I", [p]).tobytes() if isinstance(p, int) else b"".join(map(get, p)) for p in self.splitter.pieces(text)])
 
@@ -100,8 +185,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([held], pa.int64()), pa.array([before], pa.int64()), pa.array([block], pa.binary())], ["part", "block", "docs", "ids", "before", "data"])
 
         for batch in batches:
-            for key, text in zip(batch.column(0), batch.column(1)):
-                got = encoder.encode(text.as_py() or "") + end
+            for key, got in zip(batch.column(0), encoder.encode_all(text.as_py() or "" for text in batch.column(1))):
+                got += end
                 ids.append(NO_ID if key.as_py() is None else key.as_py())
                 texts.append(got)
                 held += len(got) // 4

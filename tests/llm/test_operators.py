@@ -501,6 +501,36 @@ def test_encoders_equal_the_library(tokenizer, texts):
         assert own.decode(ids) == tokenizer.decode(ids, skip_special_tokens=False)
 
 
+def test_token_encoder_looks_words_up_in_groups(tokenizer, texts, monkeypatch):
+    """Tables that are trimmed, groups that end anywhere and texts that the library cuts change no id."""
+    monkeypatch.setattr(token_file, "WORDS", 60)
+    monkeypatch.setattr(token_file, "KNOWN", 20)
+    monkeypatch.setattr(token_file, "GROUP_CHARS", 300)
+    rng = random.Random(2)
+    pool = [" ", " ", "\n", "\t\r ", "the", "The", "don't", "x1y22,", "(é)", "ab" * 300, "7" * 400, "中", "<|endoftext|>", "", "A\x85b"]
+    cases = ["", "", *("".join(rng.choice(pool) for _ in range(rng.randrange(40))) for _ in range(300)), *list(texts.values())[:60], "", "<|endoftext|>"]
+    encoder = token_file.LibraryEncoder(queries.tokenizer_path())
+    sizes = []
+    got = [sizes.append(len(encoder.table.words)) or np.frombuffer(ids, np.uint32).tolist() for ids in encoder.encode_all(t or "" for t in cases)]
+    assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in cases]
+    assert any(b < a for a, b in zip(sizes, sizes[1:])) and list(encoder.encode_all([])) == []
+
+
+def test_token_encoder_costs_less_than_splitting():
+    rng = np.random.default_rng(3)
+    words = np.array(["".join(rng.choice(list("abcdefgh"), 6)) + "," * (k % 4 == 0) for k in range(2000)])
+    text = " ".join(words[rng.integers(0, 2000, 400_000)].tolist())
+    encoder = token_file.LibraryEncoder(queries.tokenizer_path())
+
+    def seconds(use):
+        began = time.process_time()
+        use()
+        return time.process_time() - began
+
+    split = min(seconds(lambda: encoder.splitter.plain(text)) for _ in range(5))
+    assert min(seconds(lambda: encoder.encode(text)) for _ in range(5)) < split
+
+
 def test_plain_characters_split_as_in_the_library():
     splitter = pretoken.Splitter(queries.tokenizer_path())
     plain = [chr(p) for p in range(0x250) if pretoken.PLAIN.fullmatch(chr(p))]
