@@ -440,7 +440,7 @@ def has_attribute(row, flags):
 
 def file_lines(text: Column) -> Column:
     """Lines of a text; one line end at the close does not begin another line."""
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(text, r"\r?\n$", ""), r"\r?\n", -1))
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(text, r"\r?\n\z", ""), r"\r?\n", -1))
 
 
 @row_function("os", "GetLinesContainingWord")
@@ -471,12 +471,12 @@ def file_info(path):
 
 @row_function("os", "CountOfLines")
 def count_lines(row):
-    return F.size(file_lines(text_of(row))).cast("bigint")
+    return F.array_size(file_lines(text_of(row))).cast("bigint")
 
 
 @row_function("os", "CountOfNotEmptyLines")
 def count_filled_lines(row):
-    return F.size(F.filter(file_lines(text_of(row)), lambda x: x != "")).cast("bigint")
+    return F.array_size(F.filter(file_lines(text_of(row)), lambda x: x != "")).cast("bigint")
 
 
 @row_function("os", "Length", "GetFileLength", "GetLengthOfFile", raw=True)

@@ -112,6 +112,14 @@ def test_flat_file_lines(engine, tmp_path):
     assert rows(engine.sql("select LineNumber from #flat.file('/nowhere.txt')")) == []
 
 
+def test_lines_of_files_lose_one_line_end(engine, tmp_path):
+    """Only a line end at the very close is none of a further line."""
+    for k, text in enumerate(("a\n", "a\n\n", "a\n\n\n", "a\r\n\r\n", "a\n\u2028")):
+        (tmp_path / f"{k}.txt").write_bytes(text.encode())
+    got = rows(engine.sql(f"select f.Name, f.CountOfLines(), f.CountOfNotEmptyLines() from #os.files('{tmp_path}', false) f"))
+    assert sorted(got) == [("0.txt", 1, 1), ("1.txt", 2, 1), ("2.txt", 3, 1), ("3.txt", 2, 1), ("4.txt", 2, 2)]
+
+
 def test_line_numbers_run_through_splits(engine, spark, tmp_path):
     (tmp_path / "long.txt").write_text("".join(f"row {k}\n" for k in range(1, 5001)))
     held = spark.conf.get("spark.sql.files.maxPartitionBytes")
